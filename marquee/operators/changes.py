@@ -6,6 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def decode_changes(records: DataFrame, key: T.StructType, row: T.StructType) -> DataFrame:
+    """JSON ``key`` and ``value`` texts of one table's change records as structs."""
+    envelope = T.StructType([T.StructField("before", row), T.StructField("after", row)])
+    return records.withColumns({
+        "key": F.from_json("key", key),
+        "value": F.from_json("value", envelope),
+    })
 
 
 def unwrap_changes(raw: DataFrame, key_cols: Sequence[str]) -> DataFrame:

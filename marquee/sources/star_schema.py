@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.operators.changes import latest_by_key
+from marquee.schemas import struct
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +102,61 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts(spark, sf_dir).filter(~_is_deleted_user()).drop("c_custkey")
 
 
+# What the change log carries of each table.
+ITEM_CHANGE = struct(
+    "item_id string, type string, title string, runtime_minutes integer, "
+    "genre_primary string, original_language string, catalog_status string"
+)
+USER_CHANGE = struct(
+    "user_id string, age integer, gender string, subscription_plan string, account_status string"
+)
+
+
+def _changes(rows: DataFrame, number: str, origin: str, row: T.StructType, status: str, deleted: Column) -> DataFrame:
+    """Up to three JSON change records per row: created as a draft, completed, deleted.
+
+    One row in three stays a draft. Deletes come as a NULL value for every
+    second deleted row, else as an envelope without an after image.
+    """
+    key, number = row.names[0], F.col(number)
+    final = F.struct(*row.names)
+    draft = F.struct(*[F.lit("draft").alias(c) if c == status else F.col(c) for c in row.names])
+
+    def envelope(before, after):
+        return F.to_json(F.struct(before.alias("before"), after.alias("after")))
+
+    def record(step, wanted, value):
+        return F.struct(
+            F.lit(step).alias("step"),
+            F.coalesce(wanted, F.lit(False)).alias("wanted"),
+            value.alias("value"),
+        )
+
+    nothing = F.lit(None).cast(row)
+    records = F.array(
+        record(0, F.lit(True), envelope(nothing, draft)),
+        record(1, number % 3 != 1, envelope(draft, final)),
+        record(2, deleted, F.when(number % 80 < 40, envelope(final, nothing))),
+    )
+    return rows.select(
+        F.lit(origin).alias("origin"),
+        F.to_json(F.struct(key)).alias("key"),
+        number.alias("number"),
+        F.explode(F.filter(records, lambda r: r["wanted"])).alias("record"),
+    ).select("origin", "key", "record.value", (F.col("number") * 4 + F.col("record.step")).alias("seq"))
+
+
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of items and users in one log, ordered per key by ``seq``."""
+    item_changes = _changes(
+        catalogue(spark, sf_dir), "p_partkey", "catalog.public.item", ITEM_CHANGE, "catalog_status", _is_deleted_item()
+    )
+    user_changes = _changes(
+        accounts(spark, sf_dir), "c_custkey", "catalog.public.app_user", USER_CHANGE, "account_status", _is_deleted_user()
+    )
+    return item_changes.unionByName(user_changes)
+
+
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
@@ -141,9 +198,9 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by_key(rating_events(spark, sf_dir), ["user_id", "item_id"], "seq").drop("seq")
 
 
-def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_heartbeats(events: DataFrame) -> DataFrame:
     """Events as heartbeats; ``seq`` is the arrival order."""
-    return read_table(spark, sf_dir, "events").select(
+    return events.select(
         _prefixed("u", "user_id").alias("user_id"),
         F.col("event_type").alias("item_id"),
         F.col("value").cast("int").alias("watched_seconds"),
@@ -153,6 +210,10 @@ def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_heartbeats(read_table(spark, sf_dir, "events"))
+
+
 def latest_watch_time(spark: SparkSession, sf_dir: str) -> Column:
     """The newest watch time as a scalar; stands in for the wall clock."""
     return read_table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate")).scalar()
