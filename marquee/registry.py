@@ -699,7 +699,7 @@ def settle_sessions_closed(t):
 @query
 def settle_stream(t):
     """The streaming job over the events, run until they are used up."""
-    source = files.read_stream(t.spark, f"{t.sf_dir}/events*.parquet", t.table("events").schema)
+    source = files.read_stream(t.spark, f"{t.sf_dir}/events*.parquet", star_schema.TABLES["events"])
     beats = star_schema.as_heartbeats(source).withColumn(
         "session_ended_at", F.col("session_ended_at").cast("timestamp")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # The skew settings let Spark split a hot join partition even when the split
 # costs one extra exchange of already aggregated rows.
 SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -35,12 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own: on a
     cluster a driver-local path would be invisible to the executors.
     """
+    context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if path is None:
-        if not spark.sparkContext.master.startswith("local"):
+    if path is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         path = tempfile.mkdtemp(prefix="marquee-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
+    return path or context.getCheckpointDir()

@@ -15,8 +15,32 @@ from marquee.operators.changes import latest_by_key
 from marquee.schemas import struct
 
 
+TABLES = {
+    "nation": struct("n_nationkey integer, n_name string, n_regionkey integer"),
+    "customer": struct(
+        "c_custkey long, c_name string, c_nationkey integer, c_acctbal double, c_mktsegment string"
+    ),
+    "part": struct(
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size integer, p_retailprice double"
+    ),
+    "orders": struct(
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": struct(
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber integer, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": struct(
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    ),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table under its declared schema, which saves a look into the files."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _prefixed(prefix: str, key: str) -> Column:
