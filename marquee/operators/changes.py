@@ -69,10 +69,12 @@ def project(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFr
 def split_valid(facts: DataFrame, items: DataFrame, users: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(ok, dead_letters)``: facts whose references exist, and the others.
 
-    Dead letters carry ``error_reason``. Every fact lands in exactly one side.
+    Dead letters carry ``error_reason``. ``items`` and ``users`` hold one row
+    per key, as state tables do; a ``distinct`` here would keep Spark from
+    splitting a hot key's partition.
     """
-    known_items = items.select("item_id").distinct().withColumn("_item_known", F.lit(True))
-    known_users = users.select("user_id").distinct().withColumn("_user_known", F.lit(True))
+    known_items = items.select("item_id", F.lit(True).alias("_item_known"))
+    known_users = users.select("user_id", F.lit(True).alias("_user_known"))
     checked = facts.join(known_items, "item_id", "left").join(known_users, "user_id", "left")
     checked = checked.withColumn(
         "error_reason",
@@ -92,9 +94,8 @@ def stale_tombstones(state: DataFrame, source: DataFrame, key: str) -> DataFrame
 
 def delete_keys(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """``(remaining rows, tombstones)`` after deleting the keys in ``ids``."""
-    wanted = ids.select(key).distinct()
-    remaining = df.join(wanted, key, "left_anti")
-    tombstones = df.select(key).join(wanted, key, "left_semi")
+    remaining = df.join(ids.select(key), key, "left_anti")
+    tombstones = df.select(key).join(ids.select(key), key, "left_semi")
     return remaining, tombstones.withColumn("is_delete", F.lit(True))
 
 

@@ -57,8 +57,11 @@ def split_events(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataF
 
 
 def _mark_listed(df: DataFrame, cell: str, value: Column, vocabulary: DataFrame) -> DataFrame:
-    """Adds ``_bad_<cell>``: the cell is filled but not in the vocabulary."""
-    listed = vocabulary.toDF("_listed").distinct()
+    """Adds ``_bad_<cell>``: the cell is filled but not in the vocabulary.
+
+    A vocabulary holds each value once.
+    """
+    listed = vocabulary.toDF("_listed")
     marked = df.withColumn("_value", value).join(listed, F.col("_value") == F.col("_listed"), "left")
     bad = F.col("_value").isNotNull() & F.col("_listed").isNull()
     return marked.withColumn(f"_bad_{cell}", bad).drop("_value", "_listed")

@@ -489,8 +489,7 @@ def normalise_titles(t):
 @query
 def enrich_titles(t):
     lookup = normalise.title_lookup(_lookup_rows(t))
-    items = normalise.normalise_titles(_title_rows(t), "large")
-    return normalise.enrich_titles(items, lookup).select(
+    return normalise.enrich_titles(_new_items(t), lookup).select(
         files.ORDER, "title", "release_year", "date_added", "content_rating"
     )
 

@@ -91,7 +91,11 @@ def title_lookup(rows: DataFrame) -> DataFrame:
 
 
 def enrich_titles(items: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Date added and rating from the lookup; the rating falls back to the own one."""
+    """Date added and rating from the lookup; the rating falls back to the own one.
+
+    Run it on de-duplicated items: each title and year is then one row, so that
+    no key of the join is hot.
+    """
     year = F.when(F.col("release_year") != 0, F.col("release_year").cast("string")).otherwise("")
     matched = items.join(
         lookup,

@@ -319,7 +319,7 @@ _FRESH = """fresh AS (
   QUALIFY row_number() OVER (PARTITION BY lower(title), release_year ORDER BY _order) = 1
 )"""
 check("normalise_titles", f", {_TITLES} SELECT * FROM titles")
-check("enrich_titles", f""", {_TITLES}, lookup AS (
+check("enrich_titles", f""", {_TITLES}, {_FRESH}, lookup AS (
   SELECT lower(p_name) AS t, 1950 + p_partkey % 30 AS y,
     CASE WHEN p_partkey % 4 <> 0 THEN CAST(DATE '2021-01-01' + CAST(p_partkey % 365 AS INTEGER) AS DATE) END AS d,
     CASE WHEN p_partkey % 3 <> 0 THEN 'PG' END AS r
@@ -327,7 +327,7 @@ check("enrich_titles", f""", {_TITLES}, lookup AS (
   QUALIFY row_number() OVER (PARTITION BY lower(p_name), 1950 + p_partkey % 30 ORDER BY p_partkey DESC) = 1
 )
 SELECT _order, title, release_year, d AS date_added, coalesce(r, content_rating) AS content_rating
-FROM titles LEFT JOIN lookup ON t = lower(title) AND y = release_year
+FROM fresh LEFT JOIN lookup ON t = lower(title) AND y = release_year
 """)
 check("normalise_movies", """
 SELECT p_partkey AS _order, CASE WHEN s THEN 'series' ELSE 'movie' END AS type, p_name AS title,
