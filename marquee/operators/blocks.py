@@ -28,8 +28,26 @@ def live_facts(facts: DataFrame, items: DataFrame, users: DataFrame) -> DataFram
     return alive(alive(facts, items, "item_id"), users, "user_id")
 
 
+DAY = "day"
+
+
+def with_day(df: DataFrame, ts: str) -> DataFrame:
+    """Adds the date of ``ts``, by which event tables are partitioned."""
+    return df.withColumn(DAY, F.col(ts).cast("date"))
+
+
+def since(df: DataFrame, ts: str, start: Column) -> DataFrame:
+    """Rows from ``start`` on; a table partitioned by day is pruned to its days."""
+    recent = df.filter(F.col(ts) >= start)
+    return recent.filter(F.col(DAY) >= start.cast("date")) if DAY in df.columns else recent
+
+
 def last_n(df: DataFrame, key: str, newest_first: Sequence[Column], n: int) -> DataFrame:
-    """The ``n`` newest rows of every key."""
+    """The ``n`` newest rows of every key.
+
+    The cut before the shuffle needs ``n`` within
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default.
+    """
     position = F.row_number().over(Window.partitionBy(key).orderBy(*newest_first))
     return df.withColumn("_position", position).filter(F.col("_position") <= n).drop("_position")
 

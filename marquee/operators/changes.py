@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.operators.blocks import since
+
 
 def decode_changes(records: DataFrame, key: T.StructType, row: T.StructType) -> DataFrame:
     """JSON ``key`` and ``value`` texts of one table's change records as structs."""
@@ -145,4 +147,4 @@ def full_sync(target: DataFrame, result: DataFrame, key: str) -> DataFrame:
 
 def retain(df: DataFrame, ts: str, as_of: Column, days: int = 2) -> DataFrame:
     """Events of the last ``days`` days."""
-    return df.filter(F.col(ts) >= as_of - F.make_dt_interval(F.lit(days)))
+    return since(df, ts, as_of - F.make_dt_interval(F.lit(days)))

@@ -188,6 +188,6 @@ def options(df: DataFrame, column: str, unique: bool = False) -> DataFrame:
 
     ``unique`` says the column has no repeats, which saves the distinct.
     """
-    everything = df.sparkSession.createDataFrame([("All", "")], "text string, value string")
+    everything = df.sparkSession.range(1).select(F.lit("All").alias("text"), F.lit("").alias("value"))
     values = df.select(F.col(column).alias("text"), F.col(column).alias("value"))
     return everything.unionByName(values if unique else values.distinct()).orderBy("text")

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.blocks import alive, last_n, mode_of, top_k_per_group
+from marquee.operators.blocks import alive, last_n, mode_of, since, top_k_per_group
 
 # Fixed values.
 RECENT_RATINGS = 3
@@ -71,9 +71,8 @@ def user_mood(
     return alive(moods, users, "user_id")
 
 
-def _since(df: DataFrame, ts: str, as_of: Column, minutes: int) -> DataFrame:
-    span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-    return df.filter(F.col(ts) >= as_of - span)
+def _start(as_of: Column, minutes: int) -> Column:
+    return as_of - F.make_dt_interval(mins=F.lit(minutes))
 
 
 def view_ranking(
@@ -85,7 +84,7 @@ def view_ranking(
     top_n: int = TRENDING_TOP,
 ) -> DataFrame:
     """Most watched items per type since ``as_of`` minus ``minutes``."""
-    recent = _since(watches, "session_ended_at", as_of, minutes)
+    recent = since(watches, "session_ended_at", _start(as_of, minutes))
     views = alive(recent, users, "user_id").groupBy("item_id").agg(F.count("*").alias("view_count"))
     typed = views.join(items.select("item_id", "type"), "item_id")
     ranked = top_k_per_group(typed, "type", [F.desc("view_count"), F.asc("item_id")], top_n)
@@ -105,11 +104,11 @@ def rating_ranking(
 
     Equal means fall to the rating count, then to views inside the window.
     """
-    rated = alive(_since(ratings, "rated_at", as_of, minutes), users, "user_id")
+    rated = alive(since(ratings, "rated_at", _start(as_of, minutes)), users, "user_id")
     scores = rated.groupBy("item_id").agg(
         F.avg("rating").alias("avg_rating"), F.count("*").alias("rating_count")
     )
-    watched = alive(_since(watches, "session_ended_at", as_of, minutes), users, "user_id")
+    watched = alive(since(watches, "session_ended_at", _start(as_of, minutes)), users, "user_id")
     views = watched.groupBy("item_id").agg(F.count("*").alias("view_count"))
     combined = (
         scores.join(items.select("item_id", "type"), "item_id")

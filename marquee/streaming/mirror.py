@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from marquee.operators.changes import latest_by_key, split_valid
+from marquee.operators.changes import latest_by_key, split_valid, stale_tombstones
 from marquee.operators.quality import Rule, split_events
 from marquee.sources import tables
 
@@ -16,14 +16,16 @@ from marquee.sources import tables
 def apply_changes(root: str, changes: DataFrame, keys: Sequence[str], batch: int) -> None:
     """Merge one batch of changes into the state table at ``root``.
 
-    Only the batch's last change per key is merged. Deletes stay in the table
+    Only the batch's last change per key is merged; a delete needs no other
+    columns than its key. Deletes stay in the table
     as marked rows, so that an older change arriving later cannot revive them;
     readers use ``read_state``.
     """
     winners = latest_by_key(changes, keys, "seq")
     known = tables.latest(changes.sparkSession, root)
     if known is not None:
-        winners = latest_by_key(known.unionByName(winners), keys, "seq")
+        both = known.unionByName(winners, allowMissingColumns=True)
+        winners = latest_by_key(both, keys, "seq")
     tables.publish(winners, root, batch)
 
 
@@ -32,6 +34,19 @@ def read_state(spark, root: str) -> DataFrame | None:
     return None if known is None else known.filter(~F.col("is_delete")).drop("is_delete", "seq")
 
 
+def reconcile(state: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Change rows that delete the keys ``source`` no longer has.
+
+    ``state`` is the stored table with ``is_delete`` and ``seq``; feed the
+    result to ``apply_changes``.
+    """
+    live = state.filter(~F.col("is_delete"))
+    newest = state.agg(F.max("seq")).scalar()
+    return stale_tombstones(live, source, key).select(
+        key, F.lit(True).alias("is_delete"), (newest + 1).alias("seq")
+    )
+
+
 def mirror_state(changes: DataFrame, root: str, keys: Sequence[str], checkpoint: str) -> DataStreamWriter:
     """A writer that keeps the state table at ``root`` current; start it yourself."""
     return changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
@@ -46,17 +61,18 @@ def land_facts(
     root: str,
     dead_letters: str,
     batch: int,
+    ts: str,
     rules: Sequence[Rule] = (),
 ) -> None:
-    """Append a batch's good facts, and the others with their reason."""
+    """Append a batch's good facts by day, and the others with their reason."""
     bad = None
     if rules:
         facts, bad = split_events(facts, rules)
     ok, unknown = split_valid(facts, items, users)
     if bad is not None:
         unknown = unknown.unionByName(bad.withColumnRenamed("error", "error_reason"))
-    tables.append_batch(ok, root, batch)
-    tables.append_batch(unknown, dead_letters, batch)
+    tables.append_batch(ok, root, batch, ts)
+    tables.append_batch(unknown, dead_letters, batch, ts)
 
 
 def mirror_facts(
@@ -66,12 +82,16 @@ def mirror_facts(
     root: str,
     dead_letters: str,
     checkpoint: str,
+    ts: str,
     rules: Callable[[], Sequence[Rule]] = tuple,
 ) -> DataStreamWriter:
-    """A writer that appends facts, checked against the items and users of the moment."""
+    """A writer that appends facts, checked against the items and users of the moment.
+
+    ``ts`` is the event time, by whose day the tables are partitioned.
+    """
     return facts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, number: land_facts(
-            batch, read_items(), read_users(), root, dead_letters, number, rules()
+            batch, read_items(), read_users(), root, dead_letters, number, ts, rules()
         )
     )
 

@@ -3,15 +3,17 @@
 import contextlib
 import io
 import re
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
+import data
 from data import NOW
 from marquee.operators import blocks, changes
 from marquee.plans import reports
-from marquee.sources import star_schema
+from marquee.sources import star_schema, tables
 
 QUERIES = spark_entry.queries()
 # These run jobs while they build their result.
@@ -59,6 +61,19 @@ def test_the_time_window_reaches_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(l_shipdate" in plan
 
 
+def test_an_event_table_is_pruned_to_the_days_of_the_window(spark, tmp_path):
+    for batch, days in enumerate((0, 1, 400)):
+        watched = data.watches(spark, ("u1", "i1", 60, "mobile", NOW - timedelta(days=days)))
+        tables.append_batch(watched, f"{tmp_path}/watches", batch, "session_ended_at")
+    watches = tables.appended(spark, f"{tmp_path}/watches")
+    items, users = data.items(spark, ("i1",)), data.users(spark, ("u1",))
+    ranking = reports.view_ranking(watches, items, users, F.lit(NOW), minutes=2 * 24 * 60)
+    assert ranking.first().view_count == 2
+    assert re.search(r"PartitionFilters: \[.*day#\d+ >= 2024-04-29", plan_of(ranking, "simple"))
+    kept = changes.retain(watches, "session_ended_at", F.lit(NOW))
+    assert kept.count() == 2 and "day#" in plan_of(kept, "simple").split("PartitionFilters")[1]
+
+
 @pytest.mark.parametrize("name", ["user_mood", "user_top_genre", "item_view_ranking", "item_rating_ranking"])
 def test_groups_are_cut_to_their_top_rows_before_the_shuffle(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir), "simple")

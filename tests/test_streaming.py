@@ -34,6 +34,18 @@ def test_state_follows_its_changes(spark, tmp_path):
     assert sorted(tuple(r) for r in state.collect()) == [("i1", "a2"), ("i3", "c")]
 
 
+def test_reconciling_deletes_orphans(spark, tmp_path):
+    schema = struct("item_id string, title string, is_delete boolean, seq long")
+    root = f"{tmp_path}/items"
+    rows = [("i1", "a", False, 1), ("i2", "b", False, 2), ("i3", None, True, 3)]
+    mirror.apply_changes(root, spark.createDataFrame(rows, schema), ["item_id"], 1)
+    source = spark.createDataFrame([("i2",), ("i3",)], "item_id string")
+    deletes = mirror.reconcile(tables.latest(spark, root), source, "item_id")
+    assert [tuple(r) for r in deletes.collect()] == [("i1", True, 4)]
+    mirror.apply_changes(root, deletes, ["item_id"], 2)
+    assert [tuple(r) for r in mirror.read_state(spark, root).collect()] == [("i2", "b")]
+
+
 def test_facts_land_or_become_dead_letters(spark, tmp_path):
     schema = data.ratings(spark, ("u1", "i1", 5, NOW)).schema
     known_items = {"ids": [("i1",)]}
@@ -44,7 +56,7 @@ def test_facts_land_or_become_dead_letters(spark, tmp_path):
         source = files.read_stream(spark, f"{tmp_path}/in", schema, max_files_per_trigger=1)
         run(mirror.mirror_facts(
             source, lambda: data.items(spark, *known_items["ids"]), lambda: people, f"{tmp_path}/ok",
-            f"{tmp_path}/dead", f"{tmp_path}/checkpoint", lambda: quality.rating_rules(F.lit(NOW)),
+            f"{tmp_path}/dead", f"{tmp_path}/checkpoint", "rated_at", lambda: quality.rating_rules(F.lit(NOW)),
         ))
         known_items["ids"].append(("i2",))  # arrives after the first batch
     landed = tables.appended(spark, f"{tmp_path}/ok")
