@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee import schemas
 from marquee.operators import blocks, catalog, changes, quality, sessions
-from marquee.plans import admin, panels, reports
+from marquee.plans import admin, loading, panels, reports
 from marquee.schemas import struct
 from marquee.session import shared_dir, tune
 from marquee.sources import files, normalise, star_schema, tables
@@ -599,6 +601,38 @@ def assign_ids(t):
     )
 
 
+@query
+def load_pack(t):
+    """A title pack with its lookup loaded into the catalogue, ids and all."""
+    none = t.spark.createDataFrame([], "code string")
+    before = loading.Catalogue(
+        items=t.items, users=t.users, counter=t.spark.createDataFrame([], "prefix string, next_n bigint"),
+        log=t.spark.createDataFrame([], schemas.LOAD_LOG), genres=none, countries=none, languages=none,
+    )
+    rows = normalise.normalise_titles(_title_rows(t), "large")
+    after, _ = loading.load(
+        before, "large", datetime(2024, 1, 1), rows, lookup=normalise.title_lookup(_lookup_rows(t))
+    )
+    return after.items.select("item_id", "title", "release_year", "seed_source", "content_rating")
+
+
+@query
+def mirror_log(t):
+    """The whole change log streamed into the item and user state tables."""
+    root = f"{shared_dir(t.spark)}/log-{uuid.uuid4().hex}"
+    t.change_log.write.parquet(f"{root}/in")
+    targets = [
+        mirror.Target(r"\.item$", ITEM_KEY, star_schema.ITEM_CHANGE, f"{root}/items"),
+        mirror.Target(r"\.app_user$", USER_KEY, star_schema.USER_CHANGE, f"{root}/users"),
+    ]
+    records = files.read_stream(t.spark, f"{root}/in", t.change_log.schema)
+    job = mirror.mirror_log(records, targets, f"{root}/checkpoint").trigger(availableNow=True).start()
+    job.awaitTermination()
+    items = mirror.read_state(t.spark, f"{root}/items").select(F.col("item_id").alias("id"), F.col("catalog_status").alias("status"))
+    users = mirror.read_state(t.spark, f"{root}/users").select(F.col("user_id").alias("id"), F.col("account_status").alias("status"))
+    return items.unionByName(users)
+
+
 @query
 def assign_user_ids(t):
     rows = normalise.normalise_users(_user_rows(t), "native")

@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from marquee.operators.changes import latest_by_key, split_valid, stale_tombstones
+from marquee.operators.changes import (
+    decode_changes,
+    latest_by_key,
+    route,
+    split_valid,
+    stale_tombstones,
+    unwrap_changes,
+)
 from marquee.operators.quality import Rule, split_events
 from marquee.sources import tables
 
@@ -54,6 +63,27 @@ def mirror_state(changes: DataFrame, root: str, keys: Sequence[str], checkpoint:
     )
 
 
+@dataclass(frozen=True)
+class Target:
+    """A state table fed from a change log: which origin, which key, which row."""
+
+    pattern: str
+    key: T.StructType
+    row: T.StructType
+    root: str
+
+
+def mirror_log(records: DataFrame, targets: Sequence[Target], checkpoint: str) -> DataStreamWriter:
+    """A writer that keeps one state table per target current from one shared log."""
+    def write(batch: DataFrame, number: int) -> None:
+        for target in targets:
+            routed = decode_changes(route(batch, target.pattern), target.key, target.row)
+            changes = unwrap_changes(routed, target.key.names)
+            apply_changes(target.root, changes, target.key.names, number)
+
+    return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
 def land_facts(
     facts: DataFrame,
     items: DataFrame,

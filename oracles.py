@@ -319,13 +319,14 @@ _FRESH = """fresh AS (
   QUALIFY row_number() OVER (PARTITION BY lower(title), release_year ORDER BY _order) = 1
 )"""
 check("normalise_titles", f", {_TITLES} SELECT * FROM titles")
-check("enrich_titles", f""", {_TITLES}, {_FRESH}, lookup AS (
+_LOOKUP = """lookup AS (
   SELECT lower(p_name) AS t, 1950 + p_partkey % 30 AS y,
     CASE WHEN p_partkey % 4 <> 0 THEN CAST(DATE '2021-01-01' + CAST(p_partkey % 365 AS INTEGER) AS DATE) END AS d,
     CASE WHEN p_partkey % 3 <> 0 THEN 'PG' END AS r
   FROM part WHERE p_partkey % 2 = 0
   QUALIFY row_number() OVER (PARTITION BY lower(p_name), 1950 + p_partkey % 30 ORDER BY p_partkey DESC) = 1
-)
+)"""
+check("enrich_titles", f""", {_TITLES}, {_FRESH}, {_LOOKUP}
 SELECT _order, title, release_year, d AS date_added, coalesce(r, content_rating) AS content_rating
 FROM fresh LEFT JOIN lookup ON t = lower(title) AND y = release_year
 """)
@@ -386,6 +387,19 @@ check("assign_ids", f""", {_TITLES}, {_FRESH}
 SELECT 'i' || ((SELECT max(CAST(substr(item_id, 2) AS BIGINT)) FROM items) + row_number() OVER (ORDER BY _order)) AS item_id,
   title, release_year FROM fresh
 """)
+check("load_pack", f""", {_TITLES}, {_FRESH.replace("i.seed_source = 'pack1' AND ", "")}, {_LOOKUP}
+SELECT item_id, title, release_year, seed_source, content_rating FROM items
+UNION ALL
+SELECT 'i' || ((SELECT max(CAST(substr(item_id, 2) AS BIGINT)) FROM items) + row_number() OVER (ORDER BY _order)),
+  title, release_year, seed_source, coalesce(r, content_rating)
+FROM fresh LEFT JOIN lookup ON t = lower(title) AND y = release_year
+""")
+check("mirror_log", """
+SELECT item_id AS id, CASE WHEN p_partkey % 3 = 1 THEN 'draft' ELSE catalog_status END AS status
+FROM catalogue WHERE p_partkey % 50 <> 7
+UNION ALL SELECT user_id, CASE WHEN c_custkey % 3 = 1 THEN 'draft' ELSE account_status END
+FROM accounts WHERE c_custkey % 40 <> 3
+""")
 check("assign_user_ids", """
 SELECT 'u' || row_number() OVER (ORDER BY c_custkey) AS user_id, 'c' || c_custkey || '@example.com' AS email FROM customer
 """)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.operators import catalog
+from marquee.plans import loading
 from marquee.sources import files, normalise
 
 TITLES = '''id,title,type,description,release_year,age_certification,runtime,genres,production_countries,seasons,imdb_id,imdb_score,imdb_votes,tmdb_popularity,tmdb_score
@@ -164,3 +165,44 @@ def test_pack_previews(spark, folder):
     assert tuple(catalog.movie_pack_counts(None, users).first()) == (0, 0, 1)
     movies = spark.createDataFrame([("A", "Drama", "drama "), ("", "Noir", None)], "title string, genre_primary string, genre_secondary string")
     assert tuple(catalog.movie_pack_counts(movies).first()) == (1, 2, 0)
+
+
+def test_loading_and_unloading_packs(spark, folder):
+    vocabulary = spark.createDataFrame([("drama",)], "code string")
+    empty = loading.Catalogue(
+        items=spark.createDataFrame([], schemas.ITEMS), users=spark.createDataFrame([], schemas.USERS),
+        counter=spark.createDataFrame([], "prefix string, next_n bigint"), log=spark.createDataFrame([], schemas.LOAD_LOG),
+        genres=vocabulary, countries=vocabulary.limit(0), languages=vocabulary.limit(0),
+    )
+    rows, lookup = load(spark, folder)
+    (folder / "users.dat").write_text("1::F::1::10::48067\n2::M::25::3::1\n")
+    people = normalise.normalise_ml_users(files.read_users_dat(spark, f"{folder}/users.dat"), "road")
+    at = datetime(2024, 1, 1)
+    full, brought = loading.load(empty, "road", at, rows, people, lookup)
+    assert brought == loading.Loaded(items=3, skipped=2, users=2, genres=2)
+    assert {r.item_id: r.title for r in full.items.collect()} == {"i1": "Long Road", "i2": "The Reef", "i3": "Untold"}
+    assert sorted(r.user_id for r in full.users.collect()) == ["u1", "u2"]
+    assert sorted(r.code for r in full.countries.collect()) == ["FR", "US", "XX"]
+    with pytest.raises(catalog.AlreadyLoaded):
+        loading.load(full, "road", at, rows)
+
+    again, brought = loading.load(full, "road", at, rows, people, mode="users")
+    assert (brought.items, brought.users) == (0, 2)
+    forced, brought = loading.load(again, "road", at, rows, force=True)
+    assert (brought.items, brought.skipped) == (0, 5)
+
+    bare = loading.unload(forced, "road")
+    assert bare.items.isEmpty() and bare.users.isEmpty() and bare.log.isEmpty()
+    other = normalise.normalise_titles(rows_of(spark, folder), "other")
+    reloaded, _ = loading.load(bare, "other", at, other)
+    assert sorted(r.item_id for r in reloaded.items.collect()) == ["i4", "i5", "i6"]  # ids are not reused
+
+    cleared = loading.delete_genres(reloaded, ["drama"])
+    assert cleared.items.filter("genre_primary = 'drama' OR genre_secondary = 'drama'").isEmpty()
+    assert "drama" not in [r.code for r in cleared.genres.collect()]
+    assert loading.delete_countries(full, ["US"]).users.filter("country IS NOT NULL").isEmpty()
+    assert loading.delete_languages(full, ["fr"]).items.filter("original_language = 'fr'").isEmpty()
+
+
+def rows_of(spark, folder):
+    return files.read_titles(spark, f"{folder}/titles.csv")[0]

@@ -17,7 +17,7 @@ from marquee.sources import star_schema, tables
 
 QUERIES = spark_entry.queries()
 # These run jobs while they build their result.
-EAGER = {"refresh_tick", "settle_stream", "full_replace", "assign_ids", "assign_user_ids"}
+EAGER = {"refresh_tick", "settle_stream", "full_replace", "assign_ids", "assign_user_ids", "load_pack", "mirror_log"}
 
 
 def plan_of(df, mode="formatted"):
