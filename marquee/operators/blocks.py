@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def alive(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` still exists in ``dim``.
+def alive(df: DataFrame, dim: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose ``key`` still exists in ``dim``; None says that all do.
 
     No broadcast hint: Spark broadcasts the key set when its size is known to
     be small, and otherwise shuffles, where adaptive execution splits a hot
     key's partition.
     """
-    return df.join(dim.select(key), key, "left_semi")
+    return df if dim is None else df.join(dim.select(key), key, "left_semi")
 
 
 def live_facts(facts: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:

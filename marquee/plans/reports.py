@@ -3,7 +3,8 @@
 Each report counts only facts whose item and user still exist. The filter on
 the *other* dimension runs on the facts; the filter on the report's own key
 runs after the aggregation, on one row per key, so a hot key never meets that
-join. All group aggregates combine on the map side.
+join. All group aggregates combine on the map side. Where a dimension serves
+only as a filter, None says that the facts are known to be live.
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ def _share(part: Column, whole: Column) -> Column:
     return part.cast("double") / whole
 
 
-def rating_avg(ratings: DataFrame, items: DataFrame, users: DataFrame, key: str) -> DataFrame:
+def rating_avg(
+    ratings: DataFrame, items: DataFrame | None, users: DataFrame | None, key: str
+) -> DataFrame:
     """All-time mean and number of ratings, per ``user_id`` or per ``item_id``."""
     own, other, other_key = (
         (users, items, "item_id") if key == "user_id" else (items, users, "user_id")
@@ -45,8 +48,8 @@ def rating_avg(ratings: DataFrame, items: DataFrame, users: DataFrame, key: str)
 
 def user_mood(
     ratings: DataFrame,
-    items: DataFrame,
-    users: DataFrame,
+    items: DataFrame | None,
+    users: DataFrame | None,
     n: int = RECENT_RATINGS,
     good: float = GOOD_ABOVE,
     bad: float = BAD_BELOW,
@@ -78,7 +81,7 @@ def _start(as_of: Column, minutes: int) -> Column:
 def view_ranking(
     watches: DataFrame,
     items: DataFrame,
-    users: DataFrame,
+    users: DataFrame | None,
     as_of: Column,
     minutes: int = TRENDING_MINUTES,
     top_n: int = TRENDING_TOP,
@@ -95,7 +98,7 @@ def rating_ranking(
     ratings: DataFrame,
     watches: DataFrame,
     items: DataFrame,
-    users: DataFrame,
+    users: DataFrame | None,
     as_of: Column,
     minutes: int = TRENDING_MINUTES,
     top_n: int = TRENDING_TOP,
@@ -123,7 +126,7 @@ def rating_ranking(
 def completion_rate(
     watches: DataFrame,
     items: DataFrame,
-    users: DataFrame,
+    users: DataFrame | None,
     share: Decimal = COMPLETION_SHARE,
     episode_seconds: int = EPISODE_SECONDS,
 ) -> DataFrame:
@@ -149,7 +152,7 @@ def completion_rate(
     )
 
 
-def viewer_demographics(watches: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+def viewer_demographics(watches: DataFrame, items: DataFrame | None, users: DataFrame) -> DataFrame:
     """Age and gender of an item's distinct viewers."""
     viewers = (
         watches.select("item_id", "user_id").distinct()
@@ -168,7 +171,7 @@ def viewer_demographics(watches: DataFrame, items: DataFrame, users: DataFrame)
     return alive(profile, items, "item_id")
 
 
-def type_ratio(watches: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+def type_ratio(watches: DataFrame, items: DataFrame, users: DataFrame | None) -> DataFrame:
     """How a user's watches, rewatches included, split over movies and series."""
     movies, series = (F.count_if(F.col("type") == kind) for kind in ("movie", "series"))
     ratios = (
@@ -186,7 +189,7 @@ def type_ratio(watches: DataFrame, items: DataFrame, users: DataFrame) -> DataFr
 
 
 def top_genre(
-    watches: DataFrame, items: DataFrame, users: DataFrame, n: int = RECENT_WATCHES
+    watches: DataFrame, items: DataFrame, users: DataFrame | None, n: int = RECENT_WATCHES
 ) -> DataFrame:
     """Most frequent primary genre among a user's last ``n`` watches.
 
@@ -212,7 +215,7 @@ def top_genre(
     return alive(tops, users, "user_id")
 
 
-def top_device_language(watches: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+def top_device_language(watches: DataFrame, items: DataFrame, users: DataFrame | None) -> DataFrame:
     """A user's all-time favourite device and original language.
 
     Ties go to the value watched last, then to the smaller value. Grouping sets
@@ -248,7 +251,7 @@ def top_device_language(watches: DataFrame, items: DataFrame, users: DataFrame)
     return alive(tops, users, "user_id")
 
 
-def watch_counts(watches: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+def watch_counts(watches: DataFrame, items: DataFrame | None, users: DataFrame | None) -> DataFrame:
     """Distinct items and all watches per user."""
     counts = alive(watches.select("user_id", "item_id"), items, "item_id").groupBy("user_id").agg(
         F.count_distinct("item_id").alias("distinct_items_watched"),
