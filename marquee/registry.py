@@ -295,7 +295,7 @@ def _earlier_ratings(t: Inputs) -> DataFrame:
 
 @query
 def full_sync_changes(t):
-    """From last year's item averages to this tick's, restricted items included."""
+    """From the item averages of an earlier tick to those of the last."""
     return changes.full_sync(_earlier_ratings(t), t.item_rating_avg, "item_id")
 
 
@@ -307,7 +307,7 @@ def full_sync_deletes(t):
 
 @query
 def full_replace(t):
-    """The view ranking published twice and read back."""
+    """A table published as version 1, replaced by version 2, and read back."""
     root = f"{shared_dir(t.spark)}/replace-{uuid.uuid4().hex}"
     tables.publish(t.item_rating_ranking.select("type", "rank", "item_id"), root, 1)
     tables.publish(t.item_view_ranking, root, 2)

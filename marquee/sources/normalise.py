@@ -140,7 +140,7 @@ def _choose(index: Column, values: Sequence[str]) -> Column:
 
 
 def normalise_ml_users(rows: DataFrame, source: str) -> DataFrame:
-    """MovieLens-shaped users; plan and sign-up date follow from the reference number."""
+    """MovieLens-shaped users; plan and sign-up date follow from ``user_ref``."""
     ref = F.col("user_ref")
     number = F.coalesce(F.when(ref.rlike(r"^\d+$"), ref).try_cast("bigint"), F.lit(0))
     return _conform(rows, schemas.USERS, {

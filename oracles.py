@@ -455,7 +455,7 @@ _SESSIONS = """sessions AS (
 _CLOSED = "WHERE session_ended_at + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events)"
 check("settle_sessions", f", {_SESSIONS} SELECT * FROM settled")
 check("settle_sessions_closed", f", {_SESSIONS} SELECT * FROM settled {_CLOSED}")
-# The watermark has millisecond precision, one less than the newest event.
+# The watermark is the newest event time, cut to milliseconds.
 check("settle_stream", f", {_SESSIONS} SELECT * FROM settled {_CLOSED}")
 check("open_sessions", f", {_SESSIONS} SELECT * FROM open_now")
 check("free_users", f""", {_SESSIONS}
@@ -471,7 +471,7 @@ FROM items
 check("incremental_user_rating_avg", """
 SELECT user_id, avg(rating) AS avg_rating, count(*) AS rating_count FROM ratings GROUP BY user_id
 """)
-# A tick uses the reference window of ten minutes for the two rankings.
+# A tick uses the default window of ten minutes for the two rankings.
 _TICK = {name: f"(SELECT count(*) FROM {name})" for name in REPORTS}
 _TICK["item_view_ranking"] = """(SELECT CAST(sum(least(n, 10)) AS BIGINT) FROM (SELECT type, count(DISTINCT item_id) AS n
   FROM lw JOIN items USING (item_id), clock WHERE session_ended_at >= now - INTERVAL 10 MINUTE GROUP BY type))"""
