@@ -5,14 +5,15 @@ share cancel, so their Hamming distance is at most the symmetric difference of
 the shingle sets, which a similarity threshold bounds by the sizes. The sketch
 has 2^64 bits, of which only the toggled ones are kept, and is cut into more
 segments than that bound (by size band, with some to spare): linked documents
-agree in at least two segments that hold a bit. Agreeing segments give the
-candidates, which are verified by their exact shingle sets.
+agree in a segment that holds a bit. Agreeing segments give the candidates,
+which are verified by their exact shingle sets.
 
 A segment that many documents share is not expanded into pairs. Its smallest
-member is compared with every other; links found so make components, and only
-members left outside the component of that member are compared further: with a
-few other members in turn, and what then is left with all. Where these are many,
-they must agree in a second segment as well.
+member is compared with every other; links found so make components. Members
+left outside the component of that member are compared with the others by
+smaller sketches, in blocks of bounded size; of the pairs whose Hamming distance
+allows a link those that span the block are verified first, and then what still
+lies between two components.
 """
 
 from __future__ import annotations
@@ -29,10 +30,8 @@ from pyspark.sql import functions as F
 
 from marquee.llm.shared import arrays, components, filled, mixed, partitions, shingles, stored
 
-# Members of a segment beyond which a second agreeing segment is asked for.
-MANY = 32
-# Further members that all others of such a segment are compared with first.
-TURNS = 3
+# Members and bytes of sketches of a segment that are compared at once.
+BLOCK, BLOCK_BYTES = 1024, 2 << 20
 FILTER_BITS = 1 << 23
 
 
@@ -52,9 +51,9 @@ def bands(num: int, den: int) -> list[tuple[int, int, int, int]]:
     found, low, high = [], 1, 4
     while low < 1 << 40:
         bound = 2 * high * (den - num) // (den + num)
-        count = bound + 2
+        count = bound + 1
         for _ in range(4):  # room for segments without a bit
-            count = bound + 2 + math.ceil(1.5 * count * math.exp(-low / count)) if bound else 0
+            count = bound + 1 + math.ceil(1.5 * count * math.exp(-low / count)) if bound else 0
         found.append((low, high, bound, count))
         low, high = high + 1, high * 3 // 2
     return found
@@ -76,7 +75,7 @@ def segment_keys(shingle_set: np.ndarray, num: int, den: int) -> np.ndarray:
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         parity = np.bitwise_xor.reduceat(mixed(shingle_set), starts)
         keys.append(mixed(mixed(parity + np.uint64(k)) ^ (at[starts] + np.uint64(1))))
-        if count - len(starts) > count - bound - 2:  # so many empty segments that two with a bit are not sure to agree
+        if len(starts) <= bound:  # so many empty segments that one with a bit is not sure to agree
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), at[starts])
             keys.append(mixed(np.uint64(k << 32) ^ mixed(empty + np.uint64(1))))
     return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
@@ -87,30 +86,33 @@ def _signed(value: int) -> int:
 
 
 def signatures(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, node, keys): size of the set, its digest as the node of the graph (null if empty), segment keys.
+    """(id, n, node, keys, sketch): size of the set, its digest as the node of the graph (null if empty), segment keys, sketch.
 
-    Of documents with the same set in one task only the first carries keys.
+    Of documents with the same set in one task only the first carries keys and a
+    sketch. Two sets share a 64-bit digest with a chance of one in 10^19.
     """
     key = docs.schema[id_col].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: set[int] = set()
         for batch in filled(batches):
-            n, nodes, keys = [], [], []
+            n, nodes, keys, sketches = [], [], [], []
             for text in arrays(batch, "text"):
                 found = shingles(text, words)
                 node = _signed(xxhash.xxh3_64_intdigest(found.tobytes())) if len(found) else None
                 n.append(len(found))
                 nodes.append(node)
-                keys.append(segment_keys(found, num, den) if len(found) and node not in before else None)
+                new = len(found) and node not in before
+                keys.append(segment_keys(found, num, den) if new else None)
+                sketches.append(parity_sketch(found) if new else None)
                 if len(before) < 1_000_000:
                     before.add(node)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n", "node", "keys"])
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(sketches, pa.binary())], names=["id", "n", "node", "keys", "sketch"])
 
     return stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        sign, f"id {key}, n bigint, node bigint, keys array<bigint>"))
+        sign, f"id {key}, n bigint, node bigint, keys array<bigint>, sketch binary"))
 
 
 def shared_keys(entries: DataFrame) -> DataFrame:
@@ -206,49 +208,116 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def _standing(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (key, center, node, node_label, apart) of the keys with a member outside its center's component, and n, their members."""
+    """(key, node, label, apart) of the keys with a member outside its center's component and another member."""
     label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_label"))
     rows = (members.join(label("node"), "node", "left").join(label("center"), "center", "left")
-            .withColumn("node_label", F.coalesce("node_label", "node"))
-            .withColumn("apart", F.col("node_label") != F.coalesce("center_label", "center")))
-    counts = rows.groupBy("key").agg(F.sum(F.col("apart").cast("int")).alias("n_apart"), F.count("*").alias("n")).filter("n_apart > 0 and n > 1")
-    return stored(rows.join(counts, "key").select("key", "center", "node", "node_label", "apart", "n"))
-
-
-def _other_centers(standing: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b): in keys of many members, those apart with one member of either kind."""
-    rows = standing.filter(F.col("n") > MANY)
-    order = F.xxhash64("node", F.lit(turn))
-    one = rows.groupBy("key").agg(*(F.min_by(F.when(F.col("apart") == k, F.col("node")), F.when(F.col("apart") == k, order)).alias(f"c{int(k)}")
-                                    for k in (False, True)))
-    pairs = rows.filter("apart").join(one, "key").select("node", F.explode(F.array("c0", "c1")).alias("c")).filter("node != c")
-    return pairs.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+            .withColumn("label", F.coalesce("node_label", "node"))
+            .withColumn("apart", F.col("label") != F.coalesce("center_label", "center")))
+    counts = rows.groupBy("key").agg(F.max("apart").alias("any"), F.count("*").alias("n")).filter("any and n > 1")
+    return rows.join(counts, "key").select("key", "node", "label", "apart")
+
+
+def parity_sketch(shingle_set: np.ndarray) -> bytes:
+    """The parity of the shingles at each of 2^k places, at least two places for each; folding halves gives the smaller sketches."""
+    size = 1 << max(6, (2 * len(shingle_set) - 1).bit_length())
+    places = (shingle_set & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    least = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, least // 8), axis=0) for x in sketches])
+
+
+def _forest(a: np.ndarray, b: np.ndarray, cost: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Places of the pairs (a, b) that span the components of labels, the cheapest first."""
+    of = list(range(label.max() + 1))
+
+    def root(k):
+        while of[k] != k:
+            of[k] = of[of[k]]
+            k = of[k]
+        return k
+
+    found, at = [], np.argsort(cost, kind="stable")
+    while True:
+        roots = np.array([root(k) for k in range(len(of))])
+        x, y = roots[label[a[at]]], roots[label[b[at]]]
+        at, x, y = at[x != y], x[x != y], y[x != y]
+        if not len(at):
+            return np.array(found, np.int64)
+        first = np.full(len(of), len(at))
+        np.minimum.at(first, x, np.arange(len(at)))
+        np.minimum.at(first, y, np.arange(len(at)))
+        for k in np.unique(first[first < len(at)]):
+            i, j = root(x[k]), root(y[k])
+            if i != j:
+                of[max(i, j)] = min(i, j)
+                found.append(at[k])
+
+
+def _close_pairs(nodes, sizes, labels, apart, side, sketches, num, den, spanning):
+    """Pairs of one block that the sketches allow to link, of different components, one member outside the center's."""
+    of = _folded(sketches)
+    label = np.unique(labels, return_inverse=True)[1]
+    out = np.flatnonzero(apart)
+    found = []
+    step = max(1, (4 << 20) // of.size)
+    for at in range(0, len(out), step):
+        i = out[at:at + step]
+        apart_bits = np.bitwise_count(of[i, None, :] ^ of[None, :, :]).sum(axis=2, dtype=np.int64)
+        ok = apart_bits <= (sizes[i, None] + sizes[None, :]) * (den - num) // (den + num)
+        ok &= (label[i, None] != label[None, :]) & (~apart[None, :] | (i[:, None] < np.arange(len(nodes))[None, :]))
+        if side is not None:
+            ok &= side[i, None] != side[None, :]
+        x, y = np.nonzero(ok)
+        found.append((i[x], y, apart_bits[x, y]))
+    a, b, cost = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+    if spanning and len(a):
+        kept = _forest(a, b, cost, label)
+        a, b = a[kept], b[kept]
+    return np.minimum(nodes[a], nodes[b]), np.maximum(nodes[a], nodes[b])
+
+
+def _further(members: DataFrame, labels: DataFrame, sketches: DataFrame, num: int, den: int, spanning: bool) -> DataFrame:
+    """Pairs (a, b) still to verify: members outside the component of the center, with the others of the key.
+
+    The Hamming distance of their sketches rules out almost all pairs that do not
+    link. Keys are compared in blocks of bounded size; with ``spanning`` a block
+    gives only pairs that span what the sketches allow, else all.
+    """
+    rows = _standing(members, labels).join(sketches, "node")
+    blocks = rows.groupBy("key").agg(F.ceil(F.greatest(F.sum(F.length("sketch")) / BLOCK_BYTES, F.count("*") / BLOCK)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = (rows.join(blocks, "key").withColumn("own", own)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "label", "apart", "sketch"))
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        group, out = None, []
 
-def _further(standing: DataFrame, checked: DataFrame, signed: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) still to verify: members outside the component of the center, with any other member of the key.
+        def finish():
+            if len(held) > 1 and any(x[3] for x in held):
+                nodes, sizes, labels, apart, side, bits = zip(*held)
+                out.append(_close_pairs(np.array(nodes), np.array(sizes), np.array(labels), np.array(apart),
+                                        np.array(side) if group[1] != group[2] else None, bits, num, den, spanning))
 
-    The distances to the center bound the distance of two members from below,
-    which rules out most pairs. In a key of many members a pair must share a
-    second key, which linked sets are sure to do.
-    """
-    far = checked.select(F.col("a").alias("center"), F.col("b").alias("node"), (1 - F.col("inter") / F.col("total")).alias("far"))
-    known = standing.join(far, ["center", "node"])
-    few = known.filter(F.col("n") <= MANY)
-    many = known.filter(F.col("n") > MANY)
-    second = signed.filter("keys is not null").select("node", F.explode("keys").alias("second")).dropDuplicates(["node", "second"])
-    both = many.join(second, "node").filter("second != key")
-    wanted = both.filter("apart").select("key", "second").distinct()
-    many = (both.join(wanted, ["key", "second"]).withColumn("key", F.xxhash64(F.least("key", "second"), F.greatest("key", "second")))
-            .dropDuplicates(["key", "node"]))
-    columns = ["key", "node", "far", "node_label", "apart"]
-    rows = few.select(columns).unionByName(many.select(columns))
-    left = rows.filter("apart").select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "far", "node_label")))
-    limit = F.lit((den - num) / den + 1e-9)
-    pairs = left.join(rows, "key").filter(
-        (F.col("node_label_a") != F.col("node_label")) & (F.abs(F.col("far_a") - F.col("far")) <= limit)
-        & (~F.col("apart") | (F.col("node_a") < F.col("node"))))
-    return pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct()
+        for batch in filled(batches):
+            for key, i, j, own, *row, bits in zip(*(arrays(batch, c) for c in ("key", "i", "j", "own", "node", "n", "label", "apart", "sketch"))):
+                if (key, i, j) != group:
+                    finish()
+                    held, group = [], (key, i, j)
+                held.append((*row, own == j, bits))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b"])
+                out = []
+        finish()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b"])
+
+    return (placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+            .mapInArrow(compare, "a bigint, b bigint").distinct())
 
 
 def jaccard_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,21 +339,14 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     first_texts = stored(node_texts(docs, signed, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words, id_col, text_col))
     checked = verified(stars, first_texts, words)
     is_link = F.col("inter") * den >= F.col("total") * num
-    links = checked.filter(is_link).select("a", "b")
-    labels = components(links)
-    for turn in range(TURNS):
-        standing = _standing(members, labels)
-        more = stored(_other_centers(standing, turn).join(checked, ["a", "b"], "left_anti"))
-        if more.isEmpty():
+    labels = components(checked.filter(is_link).select("a", "b"))
+    sketches = signed.filter("keys is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    for spanning in (True, False):
+        more = stored(_further(members, labels, sketches, num, den, spanning).join(checked, ["a", "b"], "left_anti"))
+        if more.isEmpty() and not spanning:
             break
         checked = checked.unionByName(verified(more, first_texts, words))
-        links = checked.filter(is_link).select("a", "b")
-        labels = components(links)
-    else:
-        standing = _standing(members, labels)
-    further = stored(_further(standing, checked, signed, num, den).join(checked, ["a", "b"], "left_anti"))
-    if not further.isEmpty():
-        labels = components(links.unionByName(verified(further, first_texts, words).filter(is_link).select("a", "b")))
+        labels = components(checked.filter(is_link).select("a", "b"))
     grouped = signed.select("id", "n", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.filter("component is not null").groupBy("component").agg(F.min("id").alias("least"))
     return grouped.join(least, "component", "left").select(
