@@ -1,9 +1,10 @@
 """Toxicity by class-conditional Kneser-Ney bigram models.
 
-Toxic and ordinary labelled documents give a bigram model each. An absolute
-discount moves the mass of rare pairs to the class's unigrams and that of rare
-words to continuation counts shared by both classes, so an expression seen too
-rarely in either class says nothing. A document is judged by the difference of
+Toxic and ordinary labelled documents give a bigram model each. Pairs count by
+the different words after them and words by the different words before them, so
+copies of a document count once. An absolute discount moves the mass of rare
+pairs to the class's unigrams, and that of rare words to counts shared by both
+classes, so an expression seen too rarely in either class says nothing. A document is judged by the difference of
 its two log-likelihoods per word, over the whole text and over its most toxic
 windows; a logistic fit on labelled documents that the counts left out turns
 these into a score.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.shared import HASHES, Cached, arrays, filled, sample_ids, stored, words
 
-WINDOWS = (16, 64)
+WINDOWS = (1, 4, 16, 64)
 START = 0  # stands before the first word
 
 
@@ -69,7 +70,7 @@ class Ratios:
 
 
 def _pairs(sample: DataFrame) -> DataFrame:
-    """(v, w, n0, n1): how often w follows v in ordinary and toxic documents."""
+    """(v, w, n0, n1): by how many different words v w is followed in ordinary and toxic documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in filled(batches):
@@ -77,13 +78,15 @@ def _pairs(sample: DataFrame) -> DataFrame:
                 found = words(text)
                 if not found:
                     continue
-                h = np.fromiter(map(HASHES.__getitem__, found), np.uint64, len(found)).view(np.int64)
-                pair, n = np.unique(np.stack([np.concatenate([[START], h[:-1]]), h], axis=1), axis=0, return_counts=True)
-                by = [pa.array(n if label == k else np.zeros_like(n)) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), *by], names=["v", "w", "n0", "n1"])
+                h = np.zeros(len(found) + 2, np.uint64)  # START on both sides
+                h[1:-1] = np.fromiter(map(HASHES.__getitem__, found), np.uint64, len(found))
+                h = h.view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[:-2]), pa.array(h[1:-1]), pa.array(h[2:]), pa.array(np.full(len(found), label, np.int32))],
+                    names=["v", "w", "x", "label"])
 
-    found = sample.select("label", "text").mapInArrow(count, "v bigint, w bigint, n0 bigint, n1 bigint")
-    return stored(found.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    found = sample.select("label", "text").mapInArrow(count, "v bigint, w bigint, x bigint, label int").distinct()
+    return stored(found.groupBy("v", "w").agg(*(F.count(F.when(F.col("label") == k, 1)).alias(f"n{k}") for k in (0, 1))))
 
 
 def _numbers(df: DataFrame) -> dict[str, np.ndarray]:
@@ -100,8 +103,8 @@ def ratios(pairs: DataFrame, discount: float) -> Ratios:
     kept = f"n0 > {discount} or n1 > {discount}"
     small = [F.sum(F.least(f"n{k}", F.lit(discount))).alias(f"m{k}") for k in (0, 1)]
     large = [F.sum(f"n{k}").alias(f"n{k}") for k in (0, 1)]
-    by_word = stored(pairs.groupBy("w").agg(*large, F.count("*").alias("before")))
-    total = by_word.agg(*large, *small, F.sum("before").alias("before"), F.count("*").alias("words")).first()
+    by_word = stored(pairs.groupBy("w").agg(*(F.count(F.when(F.col(f"n{k}") > 0, 1)).alias(f"n{k}") for k in (0, 1))))
+    total = by_word.agg(*large, *small).first()
     uni = _numbers(by_word.filter(kept))
     ctx = _numbers(pairs.groupBy("v").agg(*large, *small).filter("n0 > m0 or n1 > m1"))
     bi = _numbers(pairs.filter(kept))
@@ -109,7 +112,8 @@ def ratios(pairs: DataFrame, discount: float) -> Ratios:
     vocabulary = np.unique(np.concatenate([uni["w"], ctx["v"]]).view(np.uint64))
     place = lambda h: np.searchsorted(vocabulary, h.view(np.uint64))
     size = len(vocabulary)
-    shared = (uni["before"] + 0.5) / (total["before"] + 0.5 * total["words"])
+    # what the discount takes from both classes is given back by these shared counts
+    shared = (np.minimum(uni["n0"], discount) + np.minimum(uni["n1"], discount)) / (total["m0"] + total["m1"])
     logs, weight, probability = [], [], []
     for k in (0, 1):
         n = total[f"n{k}"]
@@ -132,7 +136,8 @@ def ratios(pairs: DataFrame, discount: float) -> Ratios:
     p = [_share(np.maximum(bi[f"n{k}"] - discount, 0), count[k][v], 0.0) + weight[k][v] * probability[k][w] for k in (0, 1)]
     code = v * size + w
     order = np.argsort(code)
-    return Ratios(vocabulary, unigram, np.log(weight[1]) - np.log(weight[0]), code[order], np.log(p[1] / p[0])[order], unknown)
+    order = order[np.isfinite(p[0] + p[1])[order]]  # not after a word that itself is rare in both classes
+    return Ratios(vocabulary, unigram, np.log(weight[1]) - np.log(weight[0]), code[order], np.log(p[1][order] / p[0][order]), unknown)
 
 
 def _signs(df: DataFrame, model: Ratios) -> DataFrame:
@@ -168,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int, discount: float, fol
     # at most 2 * per_class ids by construction; one row per id, however often a document is repeated
     sample = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(taken), "id")
                     .groupBy("id", "label", "share").agg(F.max("text").alias("text")))
-    left_out = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(3)) == 0
+    left_out = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(5)) == 0
     pairs = _pairs(sample.filter(~left_out))
     seen = pairs.agg(F.sum("n0"), F.sum("n1")).first()
     if not seen[0] or not seen[1]:
