@@ -22,8 +22,8 @@ from marquee.operators.quality import Rule, split_events
 from marquee.sources import tables
 
 
-def apply_changes(root: str, changes: DataFrame, keys: Sequence[str], batch: int) -> None:
-    """Merge one batch of changes into the state table at ``root``.
+def apply_changes(root: str, changes: DataFrame, keys: Sequence[str], batch: int, writer: str = tables.DIRECT) -> None:
+    """Merge one batch of ``writer``'s changes into the state table at ``root``.
 
     Only the batch's last change per key is merged; a delete needs no other
     columns than its key. Deletes stay in the table
@@ -35,7 +35,7 @@ def apply_changes(root: str, changes: DataFrame, keys: Sequence[str], batch: int
     if known is not None:
         both = known.unionByName(winners, allowMissingColumns=True)
         winners = latest_by_key(both, keys, "seq")
-    tables.publish(winners, root, batch)
+    tables.publish(winners, root, batch, writer)
 
 
 def read_state(spark, root: str) -> DataFrame | None:
@@ -47,7 +47,7 @@ def reconcile(state: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Change rows that delete the keys ``source`` no longer has.
 
     ``state`` is the stored table with ``is_delete`` and ``seq``; feed the
-    result to ``apply_changes``.
+    result to ``apply_changes`` with a writer of its own.
     """
     live = state.filter(~F.col("is_delete"))
     newest = state.agg(F.max("seq")).scalar()
@@ -59,7 +59,7 @@ def reconcile(state: DataFrame, source: DataFrame, key: str) -> DataFrame:
 def mirror_state(changes: DataFrame, root: str, keys: Sequence[str], checkpoint: str) -> DataStreamWriter:
     """A writer that keeps the state table at ``root`` current; start it yourself."""
     return changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, number: apply_changes(root, batch, keys, number)
+        lambda batch, number: apply_changes(root, batch, keys, number, tables.stream_id(batch.sparkSession, checkpoint))
     )
 
 
@@ -76,10 +76,11 @@ class Target:
 def mirror_log(records: DataFrame, targets: Sequence[Target], checkpoint: str) -> DataStreamWriter:
     """A writer that keeps one state table per target current from one shared log."""
     def write(batch: DataFrame, number: int) -> None:
+        writer = tables.stream_id(batch.sparkSession, checkpoint)
         for target in targets:
             routed = decode_changes(route(batch, target.pattern), target.key, target.row)
             changes = unwrap_changes(routed, target.key.names)
-            apply_changes(target.root, changes, target.key.names, number)
+            apply_changes(target.root, changes, target.key.names, number, writer)
 
     return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
 
@@ -93,6 +94,7 @@ def land_facts(
     batch: int,
     ts: str,
     rules: Sequence[Rule] = (),
+    writer: str = tables.DIRECT,
 ) -> None:
     """Append a batch's good facts by day, and the others with their reason."""
     bad = None
@@ -101,8 +103,8 @@ def land_facts(
     ok, unknown = split_valid(facts, items, users)
     if bad is not None:
         unknown = unknown.unionByName(bad.withColumnRenamed("error", "error_reason"))
-    tables.append_batch(ok, root, batch, ts)
-    tables.append_batch(unknown, dead_letters, batch, ts)
+    tables.append_batch(ok, root, batch, ts, writer)
+    tables.append_batch(unknown, dead_letters, batch, ts, writer)
 
 
 def mirror_facts(
@@ -121,7 +123,8 @@ def mirror_facts(
     """
     return facts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, number: land_facts(
-            batch, read_items(), read_users(), root, dead_letters, number, ts, rules()
+            batch, read_items(), read_users(), root, dead_letters, number, ts, rules(),
+            tables.stream_id(batch.sparkSession, checkpoint),
         )
     )
 

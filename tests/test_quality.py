@@ -74,3 +74,9 @@ def test_stored_rows(spark):
     )
     checked = quality.all_errors(df, quality.table_rules("item_id")).collect()
     assert {r.item_id: len(r.errors) for r in checked} == {"i1": 0, "x1": 2, "i": 2}
+
+
+def test_a_vocabulary_that_repeats_a_value_repeats_no_row(spark):
+    names = "age country preferred_language subscription_plan monthly_spend_hours account_status".split()
+    row = spark.createDataFrame([("30", "us", None, "basic", "1.5", "active")], ", ".join(f"{n} string" for n in names))
+    assert quality.validate_users(row, vocabulary(spark, "US", "US"), vocabulary(spark, "en")).count() == 1

@@ -46,6 +46,39 @@ def test_reconciling_deletes_orphans(spark, tmp_path):
     assert [tuple(r) for r in mirror.read_state(spark, root).collect()] == [("i2", "b")]
 
 
+def test_no_writer_hides_another(spark, tmp_path):
+    """A stream, a reconciliation, the stream again and a stream with a new checkpoint all use small batch numbers."""
+    schema = struct("item_id string, title string, is_delete boolean, seq long")
+    root = f"{tmp_path}/items"
+
+    def stream(row, source, checkpoint):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{source}")
+        records = files.read_stream(spark, f"{tmp_path}/{source}", schema, max_files_per_trigger=1)
+        run(mirror.mirror_state(records, root, ["item_id"], f"{tmp_path}/{checkpoint}"))
+
+    stream(("i1", "a", False, 1), "in", "c1")
+    kept = spark.createDataFrame([("i9",)], "item_id string")
+    mirror.apply_changes(root, mirror.reconcile(tables.latest(spark, root), kept, "item_id"), ["item_id"], 1, "reconcile")
+    stream(("i2", "b", False, 10), "in", "c1")
+    stream(("i3", "c", False, 11), "other", "c2")
+    assert sorted(tuple(r) for r in mirror.read_state(spark, root).collect()) == [("i2", "b"), ("i3", "c")]
+
+
+def test_two_writers_append_the_same_batch_number(spark, tmp_path):
+    rows = [data.ratings(spark, ("u1", item, 5, NOW)) for item in ("i1", "i2")]
+    tables.append_batch(rows[0], f"{tmp_path}/facts", 0, "rated_at", "one")
+    tables.append_batch(rows[1], f"{tmp_path}/facts", 0, "rated_at", "two")
+    tables.append_batch(rows[1], f"{tmp_path}/facts", 0, "rated_at", "two")  # a retry
+    landed = tables.appended(spark, f"{tmp_path}/facts")
+    assert sorted(r.item_id for r in landed.collect()) == ["i1", "i2"] and "day" in landed.columns
+
+
+def test_a_table_of_empty_batches_has_no_rows(spark, tmp_path):
+    assert tables.appended(spark, f"{tmp_path}/dead") is None
+    tables.append_batch(data.ratings(spark, ("u1", "i1", 5, NOW)).limit(0), f"{tmp_path}/dead", 0, "rated_at")
+    assert tables.appended(spark, f"{tmp_path}/dead").collect() == []
+
+
 def test_facts_land_or_become_dead_letters(spark, tmp_path):
     schema = data.ratings(spark, ("u1", "i1", 5, NOW)).schema
     known_items = {"ids": [("i1",)]}
