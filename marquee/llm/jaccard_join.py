@@ -185,6 +185,22 @@ def node_texts(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int,
             .dropDuplicates(["node"]).select("node", "text"))
 
 
+def _allowed(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sketches are close enough for a link; the others cannot link."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filled(batches):
+            ok = []
+            for n, m, x, y in zip(*(arrays(batch, c) for c in ("n", "m", "x", "y"))):
+                x, y = _folded([x, y])
+                ok.append(int(np.bitwise_count(x ^ y).sum()) <= (n + m) * (den - num) // (den + num))
+            yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), names=["a", "b"]).filter(pa.array(ok))
+
+    both = (pairs.join(sketches.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b")
+            .join(sketches.select(F.col("node").alias("a"), "n", F.col("sketch").alias("x")), "a"))
+    return stored(both.select("a", "b", "n", "m", "x", "y").mapInArrow(compare, "a bigint, b bigint"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(a, b, inter, total) of ``pairs`` (a, b): sizes of the intersection and union of the exact sets."""
 
@@ -335,17 +351,20 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     signed = signatures(docs, words, num, den, id_col, text_col)
     entries = signed.select(F.explode("keys").alias("key"), "node")
     members = shared_keys(entries)
-    stars = stored(members.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct())
-    first_texts = stored(node_texts(docs, signed, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words, id_col, text_col))
-    checked = verified(stars, first_texts, words)
+    sketches = signed.filter("keys is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     is_link = F.col("inter") * den >= F.col("total") * num
+
+    def check(pairs: DataFrame) -> DataFrame:
+        texts = node_texts(docs, signed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words, id_col, text_col)
+        return verified(pairs, stored(texts), words)
+
+    checked = check(_allowed(members.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), sketches, num, den))
     labels = components(checked.filter(is_link).select("a", "b"))
-    sketches = signed.filter("keys is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     for spanning in (True, False):
         more = stored(_further(members, labels, sketches, num, den, spanning).join(checked, ["a", "b"], "left_anti"))
-        if more.isEmpty() and not spanning:
-            break
-        checked = checked.unionByName(verified(more, first_texts, words))
+        if more.isEmpty():
+            continue
+        checked = checked.unionByName(check(more))
         labels = components(checked.filter(is_link).select("a", "b"))
     grouped = signed.select("id", "n", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.filter("component is not null").groupBy("component").agg(F.min("id").alias("least"))
