@@ -74,8 +74,9 @@ def _must_be_number(cell: str) -> Rule:
     return f"{cell} must be a number", filled & to_float(F.col(cell)).isNull()
 
 
-def _one_of(cell: str, allowed: Sequence[str]) -> Column:
-    return _unless(strip(F.col(cell)).isin(list(allowed)))
+def _one_of(cell: str, allowed: Sequence[str], absent: str = "") -> Column:
+    """True when the cell is none of ``allowed``; a NULL cell counts as ``absent``, a blank one as blank."""
+    return _unless(strip(F.coalesce(F.col(cell), F.lit(absent))).isin(list(allowed)))
 
 
 def validate_items(df: DataFrame, genres: DataFrame, countries: DataFrame, languages: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def validate_items(df: DataFrame, genres: DataFrame, countries: DataFrame, langu
         _must_be_number("imdb_score"),
         ("genre_primary is not listed", F.col("_bad_genre_primary")),
         ("genre_secondary is not listed", F.col("_bad_genre_secondary")),
-        ("catalog_status is invalid", _one_of("catalog_status", CATALOG_STATUSES)),
+        ("catalog_status is invalid", _one_of("catalog_status", CATALOG_STATUSES, "active")),
     ]
     return all_errors(df, rules).select(*columns, "errors")
 
@@ -113,9 +114,9 @@ def validate_users(df: DataFrame, countries: DataFrame, languages: DataFrame) ->
         _must_be_whole("age"),
         ("country is not listed", F.col("_bad_country")),
         ("preferred_language is not listed", F.col("_bad_preferred_language")),
-        ("subscription_plan is invalid", _one_of("subscription_plan", SUBSCRIPTION_PLANS)),
+        ("subscription_plan is invalid", _one_of("subscription_plan", SUBSCRIPTION_PLANS, "basic")),
         _must_be_number("monthly_spend_hours"),
-        ("account_status is invalid", _one_of("account_status", ACCOUNT_STATUSES)),
+        ("account_status is invalid", _one_of("account_status", ACCOUNT_STATUSES, "active")),
     ]
     return all_errors(df, rules).select(*columns, "errors")
 

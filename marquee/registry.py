@@ -358,7 +358,7 @@ def _pad(column: str):
 
 @query
 def validate_items(t):
-    """Parts as submitted forms with assorted mistakes."""
+    """Parts as submitted forms with assorted mistakes; some lack the status, which is none."""
     key = F.col("p_partkey")
     forms = t.catalogue.select(
         "item_id",
@@ -373,7 +373,7 @@ def validate_items(t):
         F.when(key % 23 == 0, "n/a").otherwise(F.col("imdb_score").cast("string")).alias("imdb_score"),
         "genre_primary",
         "genre_secondary",
-        F.when(key % 29 == 0, "gone").otherwise(F.col("catalog_status")).alias("catalog_status"),
+        F.when(key % 29 == 0, "gone").when(key % 31 != 0, F.col("catalog_status")).alias("catalog_status"),
     )
     genres = t.items.select("genre_primary").filter(F.col("genre_primary").isNotNull()).distinct()
     countries = t.users.select("country").filter(F.col("country") != "NATION_5").distinct()
@@ -390,9 +390,9 @@ def validate_users(t):
         F.when(key % 7 == 0, "old").otherwise(_pad("age")).alias("age"),
         "country",
         "preferred_language",
-        F.when(key % 13 == 0, "gold").otherwise(_pad("subscription_plan")).alias("subscription_plan"),
+        F.when(key % 13 == 0, "gold").when(key % 23 != 0, _pad("subscription_plan")).alias("subscription_plan"),
         F.when(key % 17 == 0, "1,5").otherwise("7.25").alias("monthly_spend_hours"),
-        F.when(key % 19 == 0, "").otherwise(F.col("account_status")).alias("account_status"),
+        F.when(key % 19 == 0, "").when(key % 29 != 0, F.col("account_status")).alias("account_status"),
     )
     countries = t.users.select("country").filter(F.col("country") != "NATION_5").distinct()
     languages = t.users.select("preferred_language").filter(F.col("preferred_language") != "es").distinct()

@@ -60,7 +60,7 @@ def test_item_rows_collect_all_errors(spark):
 
 def test_user_rows(spark):
     names = "age country preferred_language subscription_plan monthly_spend_hours account_status".split()
-    rows = [("30", "us", None, "basic", "1.5", "active"), ("3.5", "FR", "xx", "gold", "x", None)]
+    rows = [("30", "us", None, "basic", "1.5", "active"), ("3.5", "FR", "xx", "gold", "x", "")]
     checked = quality.validate_users(
         spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)), vocabulary(spark, "US"), vocabulary(spark, "en")
     ).collect()
@@ -68,6 +68,12 @@ def test_user_rows(spark):
     assert found == {"30": [], "3.5": names}
 
 
+def test_an_absent_status_or_plan_takes_its_default(spark):
+    names = "age country preferred_language subscription_plan monthly_spend_hours account_status".split()
+    row = spark.createDataFrame([(None,) * 6], ", ".join(f"{n} string" for n in names))
+    assert quality.validate_users(row, vocabulary(spark, "US"), vocabulary(spark, "en")).first().errors == []
+
+
 def test_stored_rows(spark):
     df = spark.createDataFrame(
         [("i1", "movie", "active"), ("x1", "clip", "active"), ("i", "movie", None)], "item_id string, type string, catalog_status string"
