@@ -100,7 +100,8 @@ def _attach(page: DataFrame, key: str, *reports: tuple[DataFrame, list[str]]) ->
     """Left-join report columns to a page of rows.
 
     The page is cut to its row limit before this, so its keys are a bounded
-    broadcast that reduces each report before the join.
+    broadcast that reduces each finished report before the join. Reports built
+    from facts are computed in full first: pass the published tables.
     """
     keys = F.broadcast(page.select(key))
     for report, columns in reports:
