@@ -364,8 +364,11 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
         more = stored(_further(members, labels, sketches, num, den, spanning).join(checked, ["a", "b"], "left_anti"))
         if more.isEmpty():
             continue
-        checked = checked.unionByName(check(more))
-        labels = components(checked.filter(is_link).select("a", "b"))
+        found = check(more)
+        checked = checked.unionByName(found)
+        # the components so far stand for the links they came from
+        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = components(known.unionByName(found.filter(is_link).select("a", "b")))
     grouped = signed.select("id", "n", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.filter("component is not null").groupBy("component").agg(F.min("id").alias("least"))
     return grouped.join(least, "component", "left").select(

@@ -104,16 +104,15 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: every node links itself to the
     smallest neighbour until each is linked to the smallest of its component. A
     step needs one minimum per node, combined before the shuffle, and an
-    equality join that Spark can split for a hot node. Null ends and loops link
-    nothing.
+    equality join that Spark can split for a hot node. The steps end when no
+    node has two links downwards or one in each direction. Null ends and loops
+    link nothing.
     """
     e = stored(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
     )
-    mark = F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).alias("m")
-    before = e.agg(mark).first()[0]
-    while before["n"]:
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -122,13 +121,19 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        now = e.agg(mark).first()[0]
-        if now == before:
-            break
-        before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether the distinct links (u, v), u > v, lead every u to one v that leads nowhere."""
+    ends = e.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")),
+    )).alias("end")).select("end.*")
+    degrees = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return degrees.agg(F.count_if(F.col("down") + F.col("up") > 1)).first()[0] == 0
+
+
 def arrays(batch, name: str) -> Iterable:
     """The Python values of one column of an Arrow batch."""
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
