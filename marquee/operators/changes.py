@@ -42,14 +42,21 @@ def route(raw: DataFrame, pattern: str, origin: str = "origin") -> DataFrame:
     return raw.filter(F.col(origin).rlike(pattern))
 
 
-def latest_by_key(events: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def latest_by_key(events: DataFrame, keys: Sequence[str], seq: str, ties: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """One row per key, the last to arrive.
 
     The winner is kept per map task first, so a hot key shuffles one row per
-    task. Rows of one key that share a ``seq`` fall back to their other columns.
+    task. Rows of one key that share a ``seq`` fall back to the ``ties`` columns,
+    then to the others. ``unique`` says that no two rows of a key share a
+    ``seq`` and none is null; columns of fixed width are then aggregated by hash,
+    without a sort.
     """
     rest = [name for name in events.columns if name not in keys and name != seq]
-    winner = F.max(F.struct(seq, *rest)).alias("_winner")
+    if unique:
+        kept = [F.max_by(name, seq).alias(name) for name in rest]
+        return events.groupBy(*keys).agg(*kept, F.max(seq).alias(seq)).select(*keys, *rest, seq)
+    order = [*ties, *[name for name in rest if name not in ties]]
+    winner = F.max(F.struct(seq, *order)).alias("_winner")
     return events.groupBy(*keys).agg(winner).select(*keys, *[f"_winner.{name}" for name in [*rest, seq]])
 
 
@@ -68,22 +75,26 @@ def project(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFr
     return df.select(*keys, *fields)
 
 
-def split_valid(facts: DataFrame, items: DataFrame, users: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(ok, dead_letters)``: facts whose references exist, and the others.
+def check_references(facts: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+    """Facts with ``error_reason``, NULL where both references exist.
 
-    Dead letters carry ``error_reason``. ``items`` and ``users`` hold one row
-    per key, as state tables do; a ``distinct`` here would keep Spark from
-    splitting a hot key's partition.
+    ``items`` and ``users`` hold one row per key, as state tables do; a
+    ``distinct`` here would keep Spark from splitting a hot key's partition.
     """
     known_items = items.select("item_id", F.lit(True).alias("_item_known"))
     known_users = users.select("user_id", F.lit(True).alias("_user_known"))
     checked = facts.join(known_items, "item_id", "left").join(known_users, "user_id", "left")
-    checked = checked.withColumn(
+    return checked.withColumn(
         "error_reason",
         F.when(F.col("_item_known").isNull() & F.col("_user_known").isNull(), "unknown item and user")
         .when(F.col("_item_known").isNull(), "unknown item")
         .when(F.col("_user_known").isNull(), "unknown user"),
     ).select(*facts.columns, "error_reason")
+
+
+def split_valid(facts: DataFrame, items: DataFrame, users: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(ok, dead_letters)``: facts whose references exist, and the others with ``error_reason``."""
+    checked = check_references(facts, items, users)
     ok = checked.filter(F.col("error_reason").isNull()).drop("error_reason")
     return ok, checked.filter(F.col("error_reason").isNotNull())
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,48 +12,78 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from marquee.operators.changes import (
+    check_references,
     decode_changes,
     latest_by_key,
     route,
-    split_valid,
     stale_tombstones,
     unwrap_changes,
 )
 from marquee.operators.quality import Rule, split_events
 from marquee.sources import tables
 
+# Columns of a state table besides those of its rows, ``is_delete`` and ``seq``.
+RECONCILED, DELETED_AT = "_reconciled", "_deleted_at"
+KEEP_DELETES = timedelta(days=7)
 
-def apply_changes(root: str, changes: DataFrame, keys: Sequence[str], batch: int, writer: str = tables.DIRECT) -> None:
+
+def apply_changes(
+    root: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    batch: int,
+    writer: str = tables.DIRECT,
+    parts: int = tables.PARTS,
+    keep_deletes: timedelta = KEEP_DELETES,
+) -> None:
     """Merge one batch of ``writer``'s changes into the state table at ``root``.
 
     Only the batch's last change per key is merged; a delete needs no other
-    columns than its key. Deletes stay in the table
-    as marked rows, so that an older change arriving later cannot revive them;
-    readers use ``read_state``.
+    columns than its key. The table lies in ``parts`` parts by hash of the key,
+    and only those that hold a changed key are read and written again. Deletes
+    stay in the table as marked rows, so that an older change arriving later
+    cannot revive them; one older than ``keep_deletes`` goes when its part is
+    next written. Readers use ``read_state``.
     """
-    winners = latest_by_key(changes, keys, "seq")
-    known = tables.latest(changes.sparkSession, root)
-    if known is not None:
-        both = known.unionByName(winners, allowMissingColumns=True)
-        winners = latest_by_key(both, keys, "seq")
-    tables.publish(winners, root, batch, writer)
+    spark = changes.sparkSession
+    if tables.is_published(spark, root, batch, writer):
+        return
+    if RECONCILED not in changes.columns:
+        changes = changes.withColumn(RECONCILED, F.lit(False))
+    now = datetime.now(UTC)
+    winners = latest_by_key(changes, keys, "seq", [RECONCILED]).withColumn(
+        DELETED_AT, F.when(F.col("is_delete"), F.lit(now)))
+    winners = tables.with_part(winners, keys, parts).persist()
+    try:
+        touched = [r[0] for r in winners.select(tables.PART).distinct().collect()]  # at most ``parts``
+        known = tables.latest(spark, root, touched)
+        merged = winners
+        if known is not None:
+            both = tables.with_part(known, keys, parts).unionByName(winners, allowMissingColumns=True)
+            merged = latest_by_key(both, [*keys, tables.PART], "seq", [RECONCILED])
+        expired = F.col("is_delete") & (F.col(DELETED_AT) < F.lit(now - keep_deletes))
+        tables.publish_parts(merged.filter(~F.coalesce(expired, F.lit(False))), root, batch, touched, parts, writer)
+    finally:
+        winners.unpersist()
 
 
 def read_state(spark, root: str) -> DataFrame | None:
     known = tables.latest(spark, root)
-    return None if known is None else known.filter(~F.col("is_delete")).drop("is_delete", "seq")
+    return None if known is None else known.filter(~F.col("is_delete")).drop("is_delete", "seq", RECONCILED, DELETED_AT)
 
 
 def reconcile(state: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Change rows that delete the keys ``source`` no longer has.
 
     ``state`` is the stored table with ``is_delete`` and ``seq``; feed the
-    result to ``apply_changes`` with a writer of its own.
+    result to ``apply_changes`` with a writer of its own. A delete takes the
+    ``seq`` of the row it deletes and is marked as reconciled, by which it
+    comes after that row and before every later change.
     """
     live = state.filter(~F.col("is_delete"))
-    newest = state.agg(F.max("seq")).scalar()
-    return stale_tombstones(live, source, key).select(
-        key, F.lit(True).alias("is_delete"), (newest + 1).alias("seq")
+    gone = stale_tombstones(live, source, key).select(key)
+    return live.select(key, "seq").join(gone, key, "left_semi").select(
+        key, F.lit(True).alias("is_delete"), "seq", F.lit(True).alias(RECONCILED)
     )
 
 
@@ -77,10 +108,14 @@ def mirror_log(records: DataFrame, targets: Sequence[Target], checkpoint: str) -
     """A writer that keeps one state table per target current from one shared log."""
     def write(batch: DataFrame, number: int) -> None:
         writer = tables.stream_id(batch.sparkSession, checkpoint)
-        for target in targets:
-            routed = decode_changes(route(batch, target.pattern), target.key, target.row)
-            changes = unwrap_changes(routed, target.key.names)
-            apply_changes(target.root, changes, target.key.names, number, writer)
+        batch.persist()  # read once for all targets
+        try:
+            for target in targets:
+                routed = decode_changes(route(batch, target.pattern), target.key, target.row)
+                changes = unwrap_changes(routed, target.key.names)
+                apply_changes(target.root, changes, target.key.names, number, writer)
+        finally:
+            batch.unpersist()
 
     return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
 
@@ -100,11 +135,16 @@ def land_facts(
     bad = None
     if rules:
         facts, bad = split_events(facts, rules)
-    ok, unknown = split_valid(facts, items, users)
+    checked = check_references(facts, items, users)
     if bad is not None:
-        unknown = unknown.unionByName(bad.withColumnRenamed("error", "error_reason"))
-    tables.append_batch(ok, root, batch, ts, writer)
-    tables.append_batch(unknown, dead_letters, batch, ts, writer)
+        checked = checked.unionByName(bad.withColumnRenamed("error", "error_reason"))
+    checked = checked.persist()  # joined once for both tables
+    try:
+        ok = checked.filter(F.col("error_reason").isNull()).drop("error_reason")
+        tables.append_batch(ok, root, batch, ts, writer)
+        tables.append_batch(checked.filter(F.col("error_reason").isNotNull()), dead_letters, batch, ts, writer)
+    finally:
+        checked.unpersist()
 
 
 def mirror_facts(

@@ -41,11 +41,57 @@ def test_reconciling_deletes_orphans(spark, tmp_path):
     mirror.apply_changes(root, spark.createDataFrame(rows, schema), ["item_id"], 1)
     source = spark.createDataFrame([("i2",), ("i3",)], "item_id string")
     deletes = mirror.reconcile(tables.latest(spark, root), source, "item_id")
-    assert [tuple(r) for r in deletes.collect()] == [("i1", True, 4)]
+    # the delete comes right after the row it deletes, and before any later change
+    assert [tuple(r) for r in deletes.collect()] == [("i1", True, 1, True)]
     mirror.apply_changes(root, deletes, ["item_id"], 2)
     assert [tuple(r) for r in mirror.read_state(spark, root).collect()] == [("i2", "b")]
 
 
+def test_a_change_after_the_deleted_row_survives_reconciling(spark, tmp_path):
+    schema = struct("item_id string, title string, is_delete boolean, seq long")
+    root = f"{tmp_path}/items"
+    rows = [("i1", "a", False, 1), ("i2", "b", False, 9)]
+    mirror.apply_changes(root, spark.createDataFrame(rows, schema), ["item_id"], 1)
+    none = spark.createDataFrame([("i2",)], "item_id string")
+    mirror.apply_changes(root, mirror.reconcile(tables.latest(spark, root), none, "item_id"), ["item_id"], 1, "reconcile")
+    again = spark.createDataFrame([("i1", "back", False, 2)], schema)
+    mirror.apply_changes(root, again, ["item_id"], 2)
+    assert sorted(tuple(r) for r in mirror.read_state(spark, root).collect()) == [("i1", "back"), ("i2", "b")]
+
+
+def test_a_batch_rewrites_only_the_parts_of_its_keys(spark, tmp_path):
+    schema = struct("item_id string, title string, is_delete boolean, seq long")
+    root = f"{tmp_path}/items"
+    rows = [(f"i{n}", "old", False, n) for n in range(40)]
+    mirror.apply_changes(root, spark.createDataFrame(rows, schema), ["item_id"], 1, parts=4)
+    mirror.apply_changes(root, spark.createDataFrame([("i7", "new", False, 99)], schema), ["item_id"], 2, parts=4)
+    written = {f.parent.parent.name.split("-")[0]: set() for f in tmp_path.glob("items/data/*/*/*.parquet")}
+    for f in tmp_path.glob("items/data/*/*/*.parquet"):
+        written[f.parent.parent.name.split("-")[0]].add(f.parent.name)
+    assert len(written["version=1"]) == 4 and len(written["version=2"]) == 1
+    state = {r.item_id: r.title for r in mirror.read_state(spark, root).collect()}
+    assert len(state) == 40 and [k for k, v in state.items() if v == "new"] == ["i7"]
+    with pytest.raises(ValueError):
+        mirror.apply_changes(root, spark.createDataFrame(rows[:1], schema), ["item_id"], 3, parts=8)
+
+
+def test_old_deletes_expire_and_empty_parts_can_be_read(spark, tmp_path):
+    schema = struct("item_id string, title string, is_delete boolean, seq long")
+    root = f"{tmp_path}/items"
+
+    def apply(batch, *rows, **more):
+        mirror.apply_changes(root, spark.createDataFrame(list(rows), schema), ["item_id"], batch, parts=1, **more)
+
+    apply(0)
+    assert mirror.read_state(spark, root).collect() == []
+    apply(1, ("i1", None, True, 1))
+    assert tables.latest(spark, root).count() == 1
+    apply(2, ("i2", None, True, 2), keep_deletes=timedelta(days=-1))
+    assert tables.latest(spark, root).count() == 0
+    apply(3, ("i3", "c", False, 3))
+    assert [tuple(r) for r in mirror.read_state(spark, root).collect()] == [("i3", "c")]
+
+
 def test_no_writer_hides_another(spark, tmp_path):
     """A stream, a reconciliation, the stream again and a stream with a new checkpoint all use small batch numbers."""
     schema = struct("item_id string, title string, is_delete boolean, seq long")
