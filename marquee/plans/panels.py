@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.blocks import alive, numeric_id
+from marquee.plans import reports
 
 DETAIL_ROWS = 200
 TOP_ROWS = 10
@@ -96,20 +97,30 @@ def users_by_top_genre(user_top_genre: DataFrame, users: DataFrame, plan: str =
 
 # Lists
 
-def _attach(page: DataFrame, key: str, *reports: tuple[DataFrame, list[str]]) -> DataFrame:
+def _attach(page: DataFrame, key: str, *tables: tuple[DataFrame, list[str]]) -> DataFrame:
     """Left-join report columns to a page of rows.
 
     The page is cut to its row limit before this, so its keys are a bounded
-    broadcast that reduces each finished report before the join. Reports built
-    from facts are computed in full first: pass the published tables.
+    broadcast that reduces each published report before the join. Reports that
+    are built from facts for one panel get the facts of the page, by ``_of_page``.
     """
     keys = F.broadcast(page.select(key))
-    for report, columns in reports:
+    for report, columns in tables:
         wanted = report.select(key, *columns).join(keys, key, "left_semi")
         page = page.join(wanted, key, "left")
     return page.orderBy(numeric_id(key))
 
 
+def _page(df: DataFrame, key: str, value: str, column: str, wanted: str, k: int) -> DataFrame:
+    """The first ``k`` rows by id."""
+    return _only(_only(df, key, value), column, wanted).orderBy(numeric_id(key)).limit(k)
+
+
+def _of_page(facts: DataFrame, page: DataFrame, key: str, value: str) -> DataFrame:
+    """The facts of a page's keys; a single key becomes a filter that reaches the scan."""
+    return _only(facts, key, value) if value else facts.join(F.broadcast(page.select(key)), key, "left_semi")
+
+
 ITEM_DETAIL = [
     "item_id", "type", "title", "release_year", "genre_primary", "genre_secondary",
     "content_rating", "imdb_score", "is_netflix_original", "catalog_status",
@@ -125,8 +136,7 @@ def item_detail(
     item_type: str = "",
     k: int = DETAIL_ROWS,
 ) -> DataFrame:
-    chosen = _only(_only(items, "item_id", item_id), "type", item_type)
-    page = chosen.select(*ITEM_DETAIL).orderBy(numeric_id("item_id")).limit(k)
+    page = _page(items, "item_id", item_id, "type", item_type, k).select(*ITEM_DETAIL)
     shares = ["pct_male", "pct_female", "pct_other", "pct_unknown"]
     return _attach(
         page, "item_id",
@@ -136,6 +146,27 @@ def item_detail(
     )
 
 
+def item_detail_from_facts(
+    items: DataFrame,
+    users: DataFrame,
+    ratings: DataFrame,
+    watches: DataFrame,
+    item_id: str = "",
+    item_type: str = "",
+    k: int = DETAIL_ROWS,
+) -> DataFrame:
+    """``item_detail`` with its reports built from the facts of the page alone."""
+    page = _page(items, "item_id", item_id, "type", item_type, k)
+    rated, watched = (_of_page(facts, page, "item_id", item_id) for facts in (ratings, watches))
+    return item_detail(
+        page,
+        reports.rating_avg(rated, None, users, "item_id"),
+        reports.completion_rate(watched, F.broadcast(page), users),
+        reports.viewer_demographics(watched, None, users),
+        item_id, item_type, k,
+    )
+
+
 USER_DETAIL = [
     "user_id", "age", "gender", "country", "subscription_plan", "account_status",
     "signup_date", "primary_device",
@@ -153,8 +184,7 @@ def user_detail(
     plan: str = "",
     k: int = DETAIL_ROWS,
 ) -> DataFrame:
-    chosen = _only(_only(users, "user_id", user_id), "subscription_plan", plan)
-    page = chosen.select(*USER_DETAIL).orderBy(numeric_id("user_id")).limit(k)
+    page = _page(users, "user_id", user_id, "subscription_plan", plan, k).select(*USER_DETAIL)
     return _attach(
         page, "user_id",
         (user_rating_avg, ["avg_rating", "rating_count"]),
@@ -169,6 +199,29 @@ def user_detail(
     )
 
 
+def user_detail_from_facts(
+    users: DataFrame,
+    items: DataFrame,
+    ratings: DataFrame,
+    watches: DataFrame,
+    user_id: str = "",
+    plan: str = "",
+    k: int = DETAIL_ROWS,
+) -> DataFrame:
+    """``user_detail`` with its reports built from the facts of the page alone."""
+    page = _page(users, "user_id", user_id, "subscription_plan", plan, k)
+    rated, watched = (_of_page(facts, page, "user_id", user_id) for facts in (ratings, watches))
+    return user_detail(
+        page,
+        reports.rating_avg(rated, items, None, "user_id"),
+        reports.user_mood(rated, items, None),
+        reports.type_ratio(watched, items, None),
+        reports.top_genre(watched, items, None),
+        reports.top_device_language(watched, items, None),
+        user_id, plan, k,
+    )
+
+
 def rating_per_user(
     user_rating_avg: DataFrame, users: DataFrame, user_id: str = "", plan: str = "", k: int = DETAIL_ROWS
 ) -> DataFrame:

@@ -471,16 +471,16 @@ def _title_rows(t: Inputs) -> DataFrame:
 
 
 def _lookup_rows(t: Inputs) -> DataFrame:
-    """Parts as rows of the metadata lookup, with repeated titles."""
+    """Parts as rows of the metadata lookup, with repeated titles; every second title is unknown to the pack."""
     key = F.col("p_partkey")
     day = F.date_add(F.lit("2021-01-01").cast("date"), (key % 365).cast("int"))
     return _ordered(t.table("part").select(
         key,
-        F.col("p_name").alias("title"),
+        F.when(key % 2 == 0, F.col("p_name")).otherwise(F.concat(F.lit("unlisted "), "p_name")).alias("title"),
         (1950 + key % 30).cast("string").alias("release_year"),
         F.when(key % 4 == 0, "soon").otherwise(F.date_format(day, "MMMM d, yyyy")).alias("date_added"),
         F.when(key % 3 == 0, "").otherwise("PG").alias("rating"),
-    ).filter(key % 2 == 0), "p_partkey").drop("p_partkey")
+    ), "p_partkey").drop("p_partkey")
 
 
 @query
@@ -806,10 +806,10 @@ _named("users_with_rating", lambda t: panels.users_with_rating(t.user_rating_avg
 _named("items_by_type", lambda t: panels.items_by_type(t.items))
 _named("users_by_plan", lambda t: panels.users_by_plan(t.users))
 _named("item_count_movie", lambda t: panels.item_count(t.items, "movie"))
-_named("item_detail", lambda t: panels.item_detail(
-    t.items, t.item_rating_avg, t.item_completion_rate, t.item_viewer_demographics))
-_named("item_detail_series", lambda t: panels.item_detail(
-    t.items, t.item_rating_avg, t.item_completion_rate, t.item_viewer_demographics, item_type="series"))
+_named("item_detail", lambda t: panels.item_detail_from_facts(
+    t.items, t.users, t.ratings, t.watches))
+_named("item_detail_series", lambda t: panels.item_detail_from_facts(
+    t.items, t.users, t.ratings, t.watches, item_type="series"))
 _named("avg_completion_pct", lambda t: panels.mean_completion(t.item_completion_rate, t.items))
 _named("avg_completion_pct_movie", lambda t: panels.mean_completion(t.item_completion_rate, t.items, "movie"))
 _named("avg_item_rating_series", lambda t: panels.mean_item_rating(t.item_rating_avg, t.items, "series"))
@@ -818,11 +818,10 @@ _named("avg_user_rating_basic", lambda t: panels.mean_user_rating(t.user_rating_
 _named("users_by_country_top10", lambda t: panels.users_by_country(t.users))
 _named("users_by_country_top10_basic", lambda t: panels.users_by_country(t.users, "basic"))
 _named("rating_per_user", lambda t: panels.rating_per_user(t.user_rating_avg, t.users))
-_named("user_detail", lambda t: panels.user_detail(
-    t.users, t.user_rating_avg, t.user_mood, t.user_series_movie_ratio, t.user_top_genre, t.user_top_device_language))
-_named("user_detail_one", lambda t: panels.user_detail(
-    t.users, t.user_rating_avg, t.user_mood, t.user_series_movie_ratio, t.user_top_genre, t.user_top_device_language,
-    user_id="u20"))
+_named("user_detail", lambda t: panels.user_detail_from_facts(
+    t.users, t.items, t.ratings, t.watches))
+_named("user_detail_one", lambda t: panels.user_detail_from_facts(
+    t.users, t.items, t.ratings, t.watches, user_id="u20"))
 _named("users_by_mood", lambda t: panels.users_by_mood(t.user_mood, t.users))
 _named("users_by_top_genre", lambda t: panels.users_by_top_genre(t.user_top_genre, t.users))
 _named("trending_series_views", lambda t: panels.trending(t.item_view_ranking, t.items, "series"))

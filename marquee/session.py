@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         path = tempfile.mkdtemp(prefix="marquee-")
     if context.getCheckpointDir() is None:

@@ -219,7 +219,7 @@ def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_by_key(rating_events(spark, sf_dir), ["user_id", "item_id"], "seq").drop("seq")
+    return latest_by_key(rating_events(spark, sf_dir), ["user_id", "item_id"], "seq", unique=True).drop("seq")
 
 
 def as_heartbeats(events: DataFrame) -> DataFrame:

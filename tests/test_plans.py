@@ -81,6 +81,18 @@ def test_groups_are_cut_to_their_top_rows_before_the_shuffle(spark, sf_dir, name
     assert len(re.findall(r"WindowGroupLimit.*Final", plan)) == 1
 
 
+def test_latest_ratings_are_aggregated_without_a_sort(spark, sf_dir):
+    plan = plan_of(QUERIES["latest_ratings"](spark, sf_dir), "simple")
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_the_id_of_a_detail_panel_reaches_the_facts(spark, sf_dir):
+    plan = plan_of(QUERIES["user_detail_one"](spark, sf_dir))
+    scans = [s for s in re.split(r"\n\n", plan) if "Scan parquet" in s and "orders.parquet" in s]
+    filters = re.findall(r"Condition : .*o_custkey.*u20", plan)
+    assert scans and len(filters) >= len(scans)
+
+
 @pytest.fixture(scope="module")
 def hot(spark, tmp_path_factory):
     """Watches of which one user has a third and one item another, in many files."""
