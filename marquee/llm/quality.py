@@ -93,6 +93,16 @@ class Neighbours:
         return (votes[:, 1] + 0.01 * self.prior) / (votes[:, 0] + 0.01)
 
 
+def _leading(z: np.ndarray, latent: int, steps: int = 16) -> np.ndarray:
+    """The leading right singular vectors of ``z``, by subspace iteration: no square matrix of all terms is held."""
+    size = min(latent + 16, *z.shape)
+    q = np.linalg.qr(np.random.default_rng(0).standard_normal((z.shape[1], size), np.float32))[0]
+    for _ in range(steps):
+        q = np.linalg.qr(z.T @ (z @ q))[0]
+    inner = np.linalg.svd(z @ q, full_matrices=False)[2]
+    return (q @ inner.T)[:, :latent]
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int, latent: int, k: int, folds: int,
         label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Neighbours:
     """Learn from at most ``per_class`` documents of each class outside fold 0."""
@@ -115,14 +125,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int, latent: int, k: int,
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
     y = np.array([r["label"] for r in rows], np.float64)
     weight = 1 / np.array([r["share"] for r in rows])
+    del rows
     idf = np.log((len(x) + 1) / ((x > 0).sum(axis=0) + 0.5)).clip(0.05).astype(np.float32)
     z = x * idf
     norm = np.linalg.norm(z, axis=1, keepdims=True)
-    z = z / np.where(norm > 0, norm, 1)
-    # directions from the terms' second moments: the right singular vectors of z
-    values, directions = np.linalg.eigh((z.T @ z).astype(np.float64))
-    top = np.argsort(values)[::-1][:latent]
-    model = Neighbours(idf, directions[:, top].astype(np.float32), np.zeros((0, 1)), np.stack([weight, weight * y], axis=1),
+    z /= np.where(norm > 0, norm, 1)
+    directions = _leading(z, latent)
+    model = Neighbours(idf, directions, np.zeros((0, 1)), np.stack([weight, weight * y], axis=1),
                        float((weight * y).sum() / weight.sum()), k)
     model.vectors = model.project(x).astype(np.float32)
     return model
