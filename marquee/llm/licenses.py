@@ -1,9 +1,9 @@
 """License scans: TF-IDF cosine to templates, then inheritance along directories.
 
-Each line of a file, and a whole file, is a sparse vector of word counts times
-inverse document frequencies, which come from all files; words that no template
-has weigh like unseen ones. A line close to a template is a statement of that
-licence. A file called LICENSE or the like, or one that is as a whole close to a
+A unit of text, which is a whole file, a line, or as many neighbouring words of a
+line as a template has, is a sparse vector of word counts times inverse document
+frequencies, which come from all words of all files. A line with a unit close to
+a template holds a statement of that licence, whatever else the line says. A file called LICENSE or the like, or one that is as a whole close to a
 template, speaks for its directory; a file without a statement takes the licence
 of its nearest ancestor directory that has one. Only DataFrame operations are
 used.
@@ -63,14 +63,36 @@ def _weighed(found: list[tuple[str, list[str]]], idf: dict[str, float], least: f
     return data, sorted(anchors)
 
 
-def _closest(units: DataFrame, template: DataFrame, idf: DataFrame, unseen: float, keys: list[str], least: float) -> DataFrame:
-    """path and best (minus similarity, license) over the units (``keys``, words) that are close to a template."""
-    counts = units.select(*keys, F.explode("words").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
-    weighed = counts.join(idf, "term", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(unseen)))
-    norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = weighed.join(template, "term").groupBy(*keys, "k", "license").agg(F.sum(F.col("n") * F.col("w")).alias("dot"))
-    close = dots.join(norms, keys).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("similarity") >= least)
-    return close.groupBy("path").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("best"))
+def _closest(units: DataFrame, template: DataFrame, seen: DataFrame, total: int, key: str, least: float) -> DataFrame:
+    """``key`` and best (minus similarity, license) over the units (``key``, words) that are close to a template."""
+    counts = units.select(key, F.explode("words").alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    idf = F.log(F.lit(float(total + 1)) / (F.coalesce("files", F.lit(0)) + 1)) + 1
+    weighed = counts.join(seen, "term", "left").withColumn("x", F.col("n") * idf)
+    norms = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = counts.join(template, "term").groupBy(key, "k", "license").agg(F.sum(F.col("n") * F.col("w")).alias("dot"))
+    close = dots.join(norms, key).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("similarity") >= least)
+    return close.groupBy(key).agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("best"))
+
+
+def _line_units(lines: DataFrame, anchor: Column, sizes: list[int]) -> DataFrame:
+    """(path, unit) of ``lines`` (path, words): each line, and its runs of as many words as a template has, with an anchor in them.
+
+    A run is cut out around each anchor, so a long line gives no more than its anchors do.
+    """
+    widest = sizes[-1]
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(anchor, F.col("words")[i]))
+    around = F.transform(places, lambda i: F.struct(
+        F.slice("words", F.greatest(i - widest + 2, F.lit(1)), F.least(i + widest, F.size("words")) - F.greatest(i - widest + 1, F.lit(0))).alias("near"),
+        F.least(i, F.lit(widest - 1)).alias("at")))
+    near = lines.select("path", F.explode(around).alias("x")).select("path", "x.*").distinct()
+
+    def runs(size: int) -> Column:
+        last = F.greatest(F.size("near") - size, F.lit(0))
+        first = F.least(F.greatest(F.col("at") - size + 1, F.lit(0)), last)
+        return F.transform(F.sequence(first, F.least("at", last)), lambda i: F.array_join(F.slice("near", i + 1, size), " "))
+
+    found = near.select("path", F.explode(F.array_distinct(F.concat(*map(runs, sizes)))).alias("unit"))
+    return found.unionByName(lines.select("path", F.array_join("words", " ").alias("unit"))).distinct()
 
 
 def directory(path: Column) -> Column:
@@ -103,23 +125,26 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = 0.7, pat
     spark = files.sparkSession
     rows = files.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")).filter("path is not null")
     found = _templates(spark, templates)
-    terms = F.array(*(F.lit(w) for w in sorted({w for _, words in found for w in words}))).cast("array<string>")
-    held = rows.select(F.explode(F.array_intersect(text_words(F.col("text")), terms)).alias("term"))
-    seen = {r["term"]: r["count"] for r in held.groupBy("term").count().collect()}  # at most the templates' terms
+    # a table of all words, of which only those of the given templates are collected
+    held = rows.select(F.explode(F.array_distinct(text_words(F.col("text")))).alias("term"))
+    seen = stored(held.groupBy("term").agg(F.count("*").alias("files")))
     total = rows.count()
-    idf = {w: math.log((total + 1) / (seen.get(w, 0) + 1)) + 1 for _, words in found for w in words}
+    terms = sorted({w for _, words in found for w in words})
+    known = {r["term"]: r["files"] for r in seen.filter(F.col("term").isin(terms)).collect()}
+    idf = {w: math.log((total + 1) / (known.get(w, 0) + 1)) + 1 for w in terms}
     data, anchors = _weighed(found, idf, least)
-    # both hold the words of the given templates only
+    # the words of the given templates only
     template = F.broadcast(spark.createDataFrame(data, "k int, license string, term string, w double"))
-    known = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
-    unseen = math.log(total + 1) + 1
     anchor = F.array(*map(F.lit, anchors)).cast("array<string>")
 
     near = stored(rows.filter(F.arrays_overlap(text_words(F.col("text")), anchor)))
-    lines = near.select("path", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n")).alias("line", "part"))
-    lines = lines.select("path", "of", "line", text_words(F.col("part")).alias("words")).filter(F.arrays_overlap("words", anchor))
-    header = _closest(lines, template, known, unseen, ["path", "of", "line"], least)
-    whole = _closest(near.select("path", text_words(F.col("text")).alias("words")), template, known, unseen, ["path"], least)
+    lines = near.select("path", F.explode(F.split("text", "\n")).alias("part"))
+    lines = lines.select("path", text_words(F.col("part")).alias("words")).filter(F.arrays_overlap("words", anchor))
+    units = stored(_line_units(lines, anchor, sorted({len(words) for _, words in found if words} or {1})))
+    # a unit that many files hold is measured once
+    measured = _closest(units.select("unit").distinct().withColumn("words", F.split("unit", " ")), template, seen, total, "unit", least)
+    header = units.join(measured, "unit").groupBy("path").agg(F.min("best").alias("best"))
+    whole = _closest(near.select("path", text_words(F.col("text")).alias("words")), template, seen, total, "path", least)
     own = stored(header.withColumnRenamed("best", "header").join(whole.withColumnRenamed("best", "whole"), "path", "full").select(
         "path", F.coalesce("whole", "header").alias("best"),
         F.when(F.col("whole").isNotNull() | F.col("path").rlike(FILE_NAMES), "file").otherwise("header").alias("via")))

@@ -114,6 +114,16 @@ def test_licenses(spark):
     assert all(r["license"] is None for r in licenses.scan_licenses(files, templates=()).collect())
 
 
+def test_licenses_beside_other_words(spark):
+    prose = "of the and in a to is that it as was for " * 5
+    said = ["Licensed under the Apache License, Version 2.0. Copyright Foo", "This file is released under the MIT License.",
+            "Copyright (c) 2021 Acme. Released under the MIT License.", f"zeta Released under the MIT License {prose}", "the license of the zeta"]
+    rows = [(f"d{k}/x", f"{prose}\n{x}\n{prose}") for k, x in enumerate(said)] + [(f"p{k}/x", f"{prose} w{k}") for k in range(3000)]
+    got = {r["path"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert [got[f"d{k}/x"]["license"] for k in range(len(said))] == ["Apache-2.0", "MIT", "MIT", "MIT", None]
+    assert [got[f"d{k}/x"]["similarity"] for k in range(4)] == [1.0] * 4
+
+
 def test_license_query(spark, sf_dir, documents):
     got = {r["doc_id"]: r for r in QUERIES["op5_license_scan"](spark, sf_dir).collect()}
     assert len(got) == len(documents)
