@@ -124,6 +124,24 @@ def test_licenses_beside_other_words(spark):
     assert [got[f"d{k}/x"]["similarity"] for k in range(4)] == [1.0] * 4
 
 
+def test_neighbouring_licenses_and_full_texts(spark):
+    prose = "of the and in a to is that it as was for " * 5
+    said = {
+        "This work is licensed under the GNU General Public License, version 2": "GPL-2.0", "Released under the BSD 2-Clause License": "BSD-2-Clause",
+        "Licensed under CC BY 3.0": "CC-BY-3.0", "SPDX-License-Identifier: GPL-2.0": "GPL-2.0", "SPDX-License-Identifier: ISC": "ISC",
+        "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0", "Licensed under the GNU Affero General Public License, version 3": "AGPL-3.0",
+        "SPDX-License-Identifier: EUPL-1.2": None, "Released under the Zlib License": None,
+    }
+    rows = [(f"d{k}/x", f"{prose}\n{x}\n{prose}") for k, x in enumerate(said)] + [(f"p{k}/x", f"{prose} w{k}") for k in range(200)]
+    texts = licenses.full_texts()
+    for name, text, _ in texts:
+        rows += [(f"t/{name}/words", f"Copyright 2020 Acme Inc\n{text}"), (f"t/{name}/code.py", prose)]
+    got = {r["path"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {x: got[f"d{k}/x"]["license"] for k, x in enumerate(said)} == said
+    assert {name: (got[f"t/{name}/words"]["license"], got[f"t/{name}/words"]["via"]) for name, _, _ in texts} == {x: (x, "file") for x, _, _ in texts}
+    assert all(got[f"t/{name}/code.py"]["license"] == name for name, _, _ in texts)
+
+
 def test_license_query(spark, sf_dir, documents):
     got = {r["doc_id"]: r for r in QUERIES["op5_license_scan"](spark, sf_dir).collect()}
     assert len(got) == len(documents)
