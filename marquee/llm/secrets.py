@@ -3,12 +3,15 @@
 Beside three patterns, long strings near a sensitive word are measured: a
 zstandard compressor primed with the text around the candidate and a dictionary
 of identifiers tells how many bytes the candidate adds. Names, paths and
-repeated strings add few; a random key adds almost all of its bytes.
+repeated strings add few; a random key adds almost all of its bytes, or as many
+as the letters of its alphabet can carry. The word may stand before or after the
+string, and holds for further parts and lines of the same key.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -37,6 +40,15 @@ IDENTIFIERS = (
     "application/json text/html charset utf-8 content-type base64 sha256 md5 uuid begin end"
 )
 AROUND, NEAR = 512, 48
+# What may stand between two parts of one key: a dot, or a line's end with quotes and the like.
+_GAP = re.compile(r"""\.|[ \t"',]*(?:\r?\n|\\)[\s"',\\]*""")
+_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----(.*?)-----END ", re.S)
+_PEM_LINE = re.compile(r"\\[nr]|[A-Za-z0-9+/=]+")
+_PEM_HEADER = re.compile(r"^[^\n]*:[^\n]*$", re.M)
+# Alphabets of fewer than 64 letters and the bits that a random letter of them carries.
+_ALPHABETS = ((re.compile("[0-9]+"), math.log2(10)), (re.compile("[0-9a-f]+|[0-9A-F]+"), 4.0), (re.compile("(?:[a-z2-7]+|[A-Z2-7]+)=*"), 5.0))
+# Share of those bits that a random string keeps under compression.
+KEPT = 0.95
 
 
 class Novelty:
@@ -55,6 +67,12 @@ class Novelty:
         return (len(packer.compress(raw)) - len(packer.compress(b""))) / len(raw)
 
 
+def least_share(candidate: str, least: float) -> float:
+    """The share of bytes that a random string must add: ``least``, or what its alphabet allows."""
+    bits = next((b for letters, b in _ALPHABETS if letters.fullmatch(candidate)), 6.0)
+    return min(least, KEPT * bits / 8)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the three patterns, by start and then kind."""
     spans = []
@@ -67,14 +85,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans, key=lambda x: (x[0], x[2]))
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
-    """Candidates near a sensitive word that overlap no base span and hardly compress."""
+def key_lines(text: str, novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
+    """The lines of private keys between BEGIN and END, the short last one too; a key is measured as a whole."""
     spans = []
+    if "PRIVATE KEY" not in text:
+        return spans
+    for m in _PEM.finditer(text):
+        start, end = m.span(1)
+        body = _PEM_HEADER.sub(lambda x: " " * len(x[0]), m[1])
+        lines = [x for x in _PEM_LINE.finditer(body) if x[0][0] != "\\"]
+        whole = "".join(x[0] for x in lines)
+        if len(whole) >= 20 and novelty(whole, text[max(0, start - AROUND):start], text[end:end + AROUND]) >= least_share(whole, least):
+            spans += [(start + x.start(), start + x.end(), 3) for x in lines]
+    return spans
+
+
+def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
+    """Candidates near a sensitive word, or next to a part of the same key, that overlap no base span and hardly compress."""
+    lines = [x for x in key_lines(text, novelty, least) if not any(a < x[1] and x[0] < b for a, b, _ in base)]
+    spans, last, said = list(lines), 0, False  # end of the part before, and whether a sensitive word holds for it
+    taken = base + lines
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
-        if any(a < end and start < b for a, b, _ in base) or not _SENSITIVE.search(text[max(0, start - NEAR):start]):
-            continue
-        if novelty(m[0], text[max(0, start - AROUND):start], text[end:end + AROUND]) >= least:
+        goes_on = said and start - last <= NEAR and _GAP.fullmatch(text, last, start)
+        said = bool(goes_on or _SENSITIVE.search(text[max(0, start - NEAR):start]) or _SENSITIVE.search(text[end:end + NEAR]))
+        last = end
+        over = [(a, b) for a, b, _ in taken if a < end and start < b]
+        if over:
+            said, last = True, max(end, *(b for _, b in over))
+        elif said and novelty(m[0], text[max(0, start - AROUND):start], text[end:end + AROUND]) >= least_share(m[0], least):
             spans.append((start, end, 3))
     return spans
 
