@@ -99,19 +99,22 @@ def _share(part: np.ndarray, whole: np.ndarray, otherwise: float) -> np.ndarray:
 
 
 def ratios(pairs: DataFrame, discount: float) -> Ratios:
-    """Both models as one table of ratios; only counts above the discount are collected."""
+    """Both models as one table of ratios; only counts above the discount are collected, and those of the second words of such pairs."""
     kept = f"n0 > {discount} or n1 > {discount}"
     small = [F.sum(F.least(f"n{k}", F.lit(discount))).alias(f"m{k}") for k in (0, 1)]
     large = [F.sum(f"n{k}").alias(f"n{k}") for k in (0, 1)]
     by_word = stored(pairs.groupBy("w").agg(*(F.count(F.when(F.col(f"n{k}") > 0, 1)).alias(f"n{k}") for k in (0, 1))))
     total = by_word.agg(*large, *small).first()
-    uni = _numbers(by_word.filter(kept))
+    second = pairs.filter(kept).select("w", F.lit(True).alias("second")).distinct()
+    uni = _numbers(by_word.join(second, "w", "left").filter(f"{kept} or second").select("w", "n0", "n1"))
     ctx = _numbers(pairs.groupBy("v").agg(*large, *small).filter("n0 > m0 or n1 > m1"))
     bi = _numbers(pairs.filter(kept))
 
     vocabulary = np.unique(np.concatenate([uni["w"], ctx["v"]]).view(np.uint64))
     place = lambda h: np.searchsorted(vocabulary, h.view(np.uint64))
     size = len(vocabulary)
+    held = np.isin(bi["v"].view(np.uint64), vocabulary) & np.isin(bi["w"].view(np.uint64), vocabulary)
+    bi = {name: column[held] for name, column in bi.items()}  # a word without a place would take another's
     # what the discount takes from both classes is given back by these shared counts
     shared = (np.minimum(uni["n0"], discount) + np.minimum(uni["n1"], discount)) / (total["m0"] + total["m1"])
     logs, weight, probability = [], [], []
@@ -136,7 +139,6 @@ def ratios(pairs: DataFrame, discount: float) -> Ratios:
     p = [_share(np.maximum(bi[f"n{k}"] - discount, 0), count[k][v], 0.0) + weight[k][v] * probability[k][w] for k in (0, 1)]
     code = v * size + w
     order = np.argsort(code)
-    order = order[np.isfinite(p[0] + p[1])[order]]  # not after a word that itself is rare in both classes
     return Ratios(vocabulary, unigram, np.log(weight[1]) - np.log(weight[0]), code[order], np.log(p[1][order] / p[0][order]), unknown)
 
 

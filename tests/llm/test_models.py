@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from marquee.llm import class_lm, jaccard_join, licenses, quality, toxicity
 from marquee.llm.queries import QUERIES
-from marquee.llm.shared import remainder
+from marquee.llm.shared import HASHES, remainder
 
 
 def _fold(k, by):
@@ -98,6 +98,18 @@ def test_quality_query_on_held_out_labels(spark, sf_dir):
     assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in held]) > 0.8
 
 
+def test_pairs_of_a_word_with_few_predecessors(spark):
+    # "b" comes after "a" only, and is no context; "e" after many
+    rows = [("a", "b", 0, 9), *((f"v{k}", "e", 4, 4) for k in range(5)), ("a", "e", 1, 3)]
+    rows = [(*(int(np.uint64(HASHES[x.encode()]).view(np.int64)) for x in r[:2]), *r[2:]) for r in rows]
+    model = toxicity.ratios(spark.createDataFrame(rows, "v bigint, w bigint, n0 bigint, n1 bigint"), 2.0)
+    at = {x: model.place(x.encode()) for x in ("a", "b", "e")}
+    assert min(at.values()) >= 0
+    pairs = {(int(c) // len(model.vocabulary), int(c) % len(model.vocabulary)): r for c, r in zip(model.pairs, model.pair)}
+    assert len(pairs) == len(rows) and np.isfinite(list(pairs.values())).all()
+    assert pairs[at["a"], at["b"]] > 1 and math.isclose(model.unigram[at["b"]], model.unknown)
+
+
 def test_licenses(spark):
     prose = "of the and in a to is that it as was for " * 5
     rows = [
