@@ -139,8 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int, latent: int, k: int,
 
 def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1024, latent: int = 48, k: int = 15, threshold: float = 0.3,
                   folds: int = 5, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-                  model: Neighbours | None = None) -> DataFrame:
-    """``id_col``, score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= ``threshold``) per row.
+                  model: Neighbours | None = None, row_col: str | None = None) -> DataFrame:
+    """``row_col`` (by default ``id_col``, by which labels are found), score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= ``threshold``) per row.
 
     Learns from a bounded sample, ``per_class`` labelled documents of each class.
     A null or empty text has no vector, so only the prior votes. A null id is
@@ -149,7 +149,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1024, lat
     """
     model = model or fit(docs, labels, per_class, latent, k, folds, label, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = docs.schema[id_col].dataType.simpleString()
+    row_col = row_col or id_col
+    key = docs.schema[row_col].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -160,6 +161,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1024, lat
                 scores = np.clip(scores, 0.0, 1.0)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))],
-                    names=[id_col, "score", "predicted"])
+                    names=[row_col, "score", "predicted"])
 
-    return docs.select(id_col, text_col).mapInArrow(score, f"`{id_col}` {key}, score double, predicted int")
+    return docs.select(row_col, text_col).mapInArrow(score, f"`{row_col}` {key}, score double, predicted int")

@@ -162,6 +162,27 @@ def test_license_query(spark, sf_dir, documents):
         assert (got[k]["via"] in ("header", "file")) == bool(lines)
 
 
+def test_pipeline_decides_by_row(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    row = lambda k, text: (k, text, "en", "s", len(text or ""))
+    prose, other = (" ".join(f"{x}{k}" for k in range(60)) for x in ("w", "u"))
+    rows = [row(9, prose), row(9, prose), row(9, other), row(4, other), row(None, prose), row(None, "v " + other), row(None, None), row(7, None)]
+    table = spark.createDataFrame(rows, docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    one = corpus_pipeline.keep_one_of_group(spark, table, sf_dir)
+    assert one.columns == table.columns
+    assert sorted(map(repr, one.select("doc_id", "text").collect())) == sorted(
+        map(repr, table.limit(0).sparkSession.createDataFrame([(9, prose), (4, other), (None, None), (7, None)], "doc_id bigint, text string").collect()))
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    table = spark.createDataFrame([row(None, item), row(1, item), row(1, prose), row(None, prose)], table.schema)
+    clean = corpus_pipeline.drop_leaks(spark, table, sf_dir)
+    assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=repr) == sorted([(1, prose), (None, prose)], key=repr)
+    scored = {r["doc_id"]: r["predicted"] for r in QUERIES["op9_quality"](spark, sf_dir).collect()}
+    bad = F.col("doc_id").isin([k for k, x in scored.items() if x == 0][:40])
+    good = corpus_pipeline.keep_good(spark, docs.unionByName(docs.filter(bad).withColumn("doc_id", F.lit(None).cast("bigint"))), sf_dir)
+    kept = {r["text"] for r in good.filter("doc_id is not null").collect()}
+    assert {r["text"] for r in good.filter("doc_id is null").collect()} <= kept
+
+
 def test_pipeline(spark, sf_dir):
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     docs = read("documents")
