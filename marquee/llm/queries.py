@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import (class_lm, decontaminate, jaccard_join, licenses, near_vectors, packing, quality, secrets, token_counts,
-                         toxicity)
+from marquee.llm import (class_lm, conversation_repair, decontaminate, jaccard_join, licenses, merkle, near_vectors, packing, quality,
+                         reply_trees, secrets, statements, token_counts, toxicity)
 from marquee.llm.shared import read_table, remainder
 from marquee.session import tune
 
@@ -86,10 +86,38 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+# The text of both turns of the conversation that op11 adds.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, and one of control strings, read back from their formatted texts."""
+    tune(spark)
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    return reply_trees.conversation_digests(rows.unionByName(control))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after some rows were damaged."""
+    tune(spark)
+    return conversation_repair.damaged_and_repaired(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by source, checked against partly altered texts."""
+    tune(spark)
+    return merkle.tampered_manifest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_decontamination, op2_jaccard_join, op3_class_lm, op4_token_counts, op5_license_scan, op6_secret_scan, op7_packing,
-              op8_toxicity, op9_quality, op10_near_vectors)
+              op8_toxicity, op9_quality, op10_near_vectors, op11_chat_format, op12_conversation_repair, op13_merkle_manifest)
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op11_chat_format": statements.chat_format(CONTROL_TEXT),
+    "op12_conversation_repair": statements.conversation_repair(),
+    "op13_merkle_manifest": statements.merkle_manifest(),
+}
