@@ -1,9 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
 
 from data import NOW, items, ratings, users
 from marquee.operators import blocks, changes
 from marquee.schemas import struct
 from marquee.sources import tables
+from marquee.streaming import mirror
 
 
 def rows(df):
@@ -106,3 +108,58 @@ def test_published_tables(spark, tmp_path):
     assert tables.latest(spark, root).count() == 5
     tables.publish(spark.range(8), root, 3)
     assert tables.latest(spark, root).count() == 8
+
+
+def test_a_writer_that_loses_a_race_keeps_its_batch_after_a_retry(spark, tmp_path, monkeypatch):
+    """Writer B looks at the table before A publishes, and comes to its ledger entry after A."""
+    root = f"{tmp_path}/table"
+    tables.publish(spark.range(1), root, 1, "a")
+    create = tables._create
+
+    def late(*args):
+        monkeypatch.setattr(tables, "_create", create)
+        tables.publish(spark.range(2), root, 2, "a")
+        return create(*args)
+
+    monkeypatch.setattr(tables, "_create", late)
+    with pytest.raises(tables.Conflict):
+        tables.publish(spark.range(3), root, 1, "b")
+    assert tables.latest(spark, root).count() == 2  # A's rows are current, nothing of B counts
+    assert not tables.is_published(spark, root, 1, "b")
+    tables.publish(spark.range(3), root, 1, "b")
+    assert tables.latest(spark, root).count() == 3
+    assert tables.is_published(spark, root, 2, "a") and tables.is_published(spark, root, 1, "b")
+
+
+def test_two_writers_of_parts_keep_both_batches(spark, tmp_path, monkeypatch):
+    root, schema = f"{tmp_path}/items", "item_id string, title string, is_delete boolean, seq long"
+
+    def apply(row, writer):
+        mirror.apply_changes(root, spark.createDataFrame([row], schema), ["item_id"], 1, writer, parts=2)
+
+    create = tables._create
+
+    def late(*args):
+        monkeypatch.setattr(tables, "_create", create)
+        apply(("i1", "a", False, 1), "a")
+        return create(*args)
+
+    monkeypatch.setattr(tables, "_create", late)
+    with pytest.raises(tables.Conflict):
+        apply(("i2", "b", False, 1), "b")
+    apply(("i2", "b", False, 1), "b")
+    assert sorted(tuple(r) for r in mirror.read_state(spark, root).collect()) == [("i1", "a"), ("i2", "b")]
+
+
+def test_tables_published_together_change_together(spark, tmp_path):
+    root = f"{tmp_path}/tables"
+    part = tables.with_part(spark.range(8), ["id"], 4)
+    tables.publish_all(spark, {"a": spark.range(1), "b": tables.Parts(part, range(4), 4)}, root, 1)
+    broken = spark.range(1).select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.publish_all(spark, {"a": spark.range(5), "b": broken}, root, 2)
+    assert tables.latest(spark, root, name="a").count() == 1
+    tables.publish_all(spark, {"b": tables.Parts(part.filter("_part = 1 and id < 0"), [1], 4)}, root, 2)
+    kept = sorted(r.id for r in tables.latest(spark, root, name="b").collect())
+    assert kept == sorted(r.id for r in part.filter("_part != 1").collect())
+    assert tables.latest(spark, root, name="a").count() == 1 and tables.latest(spark, root, name="c") is None
