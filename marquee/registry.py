@@ -16,7 +16,7 @@ from marquee.plans import admin, loading, panels, reports
 from marquee.schemas import struct
 from marquee.session import shared_dir, tune
 from marquee.sources import files, normalise, star_schema, tables
-from marquee.streaming import mirror, refresh, settle
+from marquee.streaming import incremental, mirror, refresh, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -782,19 +782,72 @@ def incremental_user_rating_avg(t):
     return mirror.averages(mirror.update_averages(state, deltas, "user_id"), "user_id")
 
 
+# The columns of each report: its key, texts and numbers.
+REPORT_COLUMNS = {
+    "user_rating_avg": (["user_id"], [], ["avg_rating", "rating_count"]),
+    "item_rating_avg": (["item_id"], [], ["avg_rating", "rating_count"]),
+    "user_mood": (["user_id"], ["mood"], ["avg_recent_rating", "ratings_used"]),
+    "item_view_ranking": (["type", "rank"], ["item_id"], ["view_count"]),
+    "item_rating_ranking": (["type", "rank"], ["item_id"], ["avg_rating", "rating_count"]),
+    "item_completion_rate": (["item_id"], ["type"], ["completion_rate", "watch_count"]),
+    "item_viewer_demographics": (
+        ["item_id"], [], ["average_age", "pct_male", "pct_female", "pct_other", "pct_unknown", "viewer_count"]),
+    "user_series_movie_ratio": (
+        ["user_id"], [], ["movie_watch_count", "series_watch_count", "movie_percentage", "series_percentage"]),
+    "user_top_genre": (["user_id"], ["top_genre"], ["genre_watch_count", "watches_used"]),
+    "user_top_device_language": (["user_id"], ["top_device", "top_language"], ["device_watch_count", "language_watch_count"]),
+    "user_watch_count": (["user_id"], [], ["distinct_items_watched", "total_watches"]),
+}
+
+
+def _content(read: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of all reports under common columns."""
+    def rows(name, key, texts, numbers):
+        none = F.lit(None)
+        return read(name).select(
+            F.lit(name).alias("report"), F.concat_ws(":", *key).alias("key"),
+            *[(F.col(texts[k]) if k < len(texts) else none.cast("string")).alias(f"text{k + 1}") for k in range(2)],
+            *[(F.col(numbers[k]) if k < len(numbers) else none).cast("double").alias(f"n{k + 1}") for k in range(6)])
+    return admin.stack([rows(name, *columns) for name, columns in REPORT_COLUMNS.items()])
+
+
 @query
 def refresh_tick(t):
-    """A whole tick written and read back: rows per report table."""
+    """A whole tick written and read back: the rows of every report table."""
     root = f"{shared_dir(t.spark)}/tick-{uuid.uuid4().hex}"
     sources = {"items": t.items, "users": t.users, "ratings": t.ratings, "watch_events": t.watches}
-    written = refresh.run_tick(sources, root, 1, t.as_of)
-    counts = [
-        tables.latest(t.spark, f"{root}/{name}").agg(
-            F.lit(name).alias("report"), F.count("*").alias("n")
-        )
-        for name in written
+    refresh.run_tick(sources, root, 1, t.as_of)
+    return _content(lambda name: tables.latest(t.spark, f"{root}/{name}"))
+
+
+def _between(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
+    return df.filter((F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (F.col(ts) < F.lit(end).cast("timestamp_ntz")))
+
+
+@query
+def incremental_reports(t):
+    """All reports kept by deltas over three ticks, with changed attributes in the second and deletes in the second and third."""
+    root = f"{shared_dir(t.spark)}/increments-{uuid.uuid4().hex}"
+    number, account = F.col("p_partkey"), F.col("c_custkey")
+    everything, everyone = t.catalogue, t.accounts
+    first = (
+        everything.withColumns({
+            "type": F.when(number % 9 == 0, "movie").otherwise(F.col("type")),
+            "genre_primary": F.when(number % 7 != 0, F.col("genre_primary")),
+            "original_language": F.when(number % 4 == 0, "xx").otherwise(F.col("original_language")),
+            "runtime_minutes": F.when(number % 5 == 0, 7).otherwise(F.col("runtime_minutes")),
+        }).drop("p_partkey"),
+        everyone.withColumns({"age": F.when(account % 6 != 0, F.col("age")), "gender": F.when(account % 8 != 0, F.col("gender"))}),
+    )
+    second = everything.filter(number % 100 != 7), everyone.filter(account % 80 != 3)
+    ticks = [
+        (first, "1900-01-01", "1997-06-01"), (second, "1997-06-01", "1999-09-01"), ((t.items, t.users), "1999-09-01", "2900-01-01"),
     ]
-    return admin.stack(counts)
+    for number, ((items, users), start, end) in enumerate(ticks):
+        as_of = t.as_of if number == 2 else F.lit(end).cast("timestamp_ntz")
+        ratings, watches = _between(t.rating_events, "rated_at", start, end), _between(t.watches, "session_ended_at", start, end)
+        incremental.advance(root, number, items, users, ratings, watches, as_of, parts=4, minutes=TREND_MINUTES)
+    return _content(lambda name: incremental.read_report(t.spark, root, name))
 
 
 # Dashboard panels

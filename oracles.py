@@ -471,17 +471,33 @@ FROM items
 check("incremental_user_rating_avg", """
 SELECT user_id, avg(rating) AS avg_rating, count(*) AS rating_count FROM ratings GROUP BY user_id
 """)
+
+
+def _content(name: str, key: str, texts: str, numbers: str) -> str:
+    """The rows of a report under the common columns."""
+    texts, numbers = texts.split(), numbers.split()
+    columns = [f"{texts[k]} AS text{k + 1}" if k < len(texts) else f"CAST(NULL AS VARCHAR) AS text{k + 1}" for k in range(2)]
+    columns += [f"CAST({numbers[k] if k < len(numbers) else 'NULL'} AS DOUBLE) AS n{k + 1}" for k in range(6)]
+    return f"SELECT '{name}' AS report, {key} AS key, {', '.join(columns)} FROM {name}"
+
+
+_CONTENT = " UNION ALL ".join([
+    _content("user_rating_avg", "user_id", "", "avg_rating rating_count"),
+    _content("item_rating_avg", "item_id", "", "avg_rating rating_count"),
+    _content("user_mood", "user_id", "mood", "avg_recent_rating ratings_used"),
+    _content("item_view_ranking", "type || ':' || rank", "item_id", "view_count"),
+    _content("item_rating_ranking", "type || ':' || rank", "item_id", "avg_rating rating_count"),
+    _content("item_completion_rate", "item_id", "type", "completion_rate watch_count"),
+    _content("item_viewer_demographics", "item_id", "", "average_age pct_male pct_female pct_other pct_unknown viewer_count"),
+    _content("user_series_movie_ratio", "user_id", "", "movie_watch_count series_watch_count movie_percentage series_percentage"),
+    _content("user_top_genre", "user_id", "top_genre", "genre_watch_count watches_used"),
+    _content("user_top_device_language", "user_id", "top_device top_language", "device_watch_count language_watch_count"),
+    _content("user_watch_count", "user_id", "", "distinct_items_watched total_watches"),
+])
+check("incremental_reports", _CONTENT, *REPORTS)
+check("refresh_tick", _CONTENT, *REPORTS)
 # A tick uses the default window of ten minutes for the two rankings.
-_TICK = {name: f"(SELECT count(*) FROM {name})" for name in REPORTS}
-_TICK["item_view_ranking"] = """(SELECT CAST(sum(least(n, 10)) AS BIGINT) FROM (SELECT type, count(DISTINCT item_id) AS n
-  FROM lw JOIN items USING (item_id), clock WHERE session_ended_at >= now - INTERVAL 10 MINUTE GROUP BY type))"""
-_TICK["item_rating_ranking"] = """(SELECT CAST(sum(least(n, 10)) AS BIGINT) FROM (SELECT type, count(DISTINCT item_id) AS n
-  FROM lr JOIN items USING (item_id), clock WHERE rated_at >= now - INTERVAL 10 MINUTE GROUP BY type))"""
-check(
-    "refresh_tick",
-    " UNION ALL ".join(f"SELECT '{name}' AS report, coalesce({sql}, 0) AS n" for name, sql in _TICK.items()),
-    *[name for name in REPORTS if not name.endswith("_ranking")],
-)
+STATEMENTS["refresh_tick"] = STATEMENTS["refresh_tick"].replace("INTERVAL 90 DAY", "INTERVAL 10 MINUTE")
 
 # Dashboard panels
 
