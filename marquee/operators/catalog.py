@@ -107,6 +107,14 @@ def already_loaded(log: DataFrame, key: str) -> bool:
     return not log.filter(F.col("seed_name") == key).isEmpty()
 
 
+def refused(log: DataFrame, requests: DataFrame) -> DataFrame:
+    """``requests`` (seed_name, mode) with whether the guard refuses each: the source was loaded before in that mode."""
+    key = F.when(F.col("mode") == "full", F.col("seed_name")).otherwise(F.concat_ws(":", "seed_name", "mode"))
+    known = log.select(F.col("seed_name").alias("_key"), F.lit(True).alias("_known")).distinct()
+    found = requests.withColumn("_key", key).join(known, "_key", "left")
+    return found.withColumn("refused", F.coalesce("_known", F.lit(False))).drop("_key", "_known")
+
+
 class AlreadyLoaded(ValueError):
     """The source was loaded before and the load was not forced."""
 

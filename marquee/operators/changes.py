@@ -8,16 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.functions import wire
 from marquee.operators.blocks import since
 
 
 def decode_changes(records: DataFrame, key: T.StructType, row: T.StructType) -> DataFrame:
-    """JSON ``key`` and ``value`` texts of one table's change records as structs."""
-    envelope = T.StructType([T.StructField("before", row), T.StructField("after", row)])
-    return records.withColumns({
-        "key": F.from_json("key", key),
-        "value": F.from_json("value", envelope),
-    })
+    """JSON ``key`` and ``value`` texts of one table's change records as structs, typed as in ``row``."""
+    image = wire.wire_schema(row)
+    envelope = T.StructType([T.StructField("before", image), T.StructField("after", image)])
+    value = F.from_json("value", envelope)
+    images = [wire.decode_row(F.col("value")[name], row).alias(name) for name in ("before", "after")]
+    return records.withColumns({"key": F.from_json("key", key), "value": value}).withColumn(
+        "value", F.when(F.col("value").isNotNull(), F.struct(*images)))
+
+
+def decode_events(records: DataFrame, row: T.StructType) -> DataFrame:
+    """JSON ``value`` texts of events, whose times are epoch milliseconds, as a struct typed as in ``row``; NULL is a tombstone."""
+    image = F.from_json("value", wire.wire_schema(row, wire.MILLIS))
+    return records.withColumn("value", image).withColumn("value", wire.decode_row(F.col("value"), row, wire.MILLIS))
 
 
 def unwrap_changes(raw: DataFrame, key_cols: Sequence[str]) -> DataFrame:

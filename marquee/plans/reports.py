@@ -26,6 +26,9 @@ COMPLETION_SHARE = Decimal("0.85")
 EPISODE_SECONDS = 2400
 RECENT_WATCHES = 8
 NAMED_GENDERS = ["male", "female", "other"]
+# Sketches of distinct counts: 2 ** SKETCH_BITS registers, and the relative standard error that this gives.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -258,3 +261,17 @@ def watch_counts(watches: DataFrame, items: DataFrame | None, users: DataFrame |
         F.count("*").alias("total_watches"),
     )
     return alive(counts, users, "user_id")
+
+
+def viewer_sketches(watches: DataFrame, key: str) -> DataFrame:
+    """An HLL sketch of the viewers per ``key``: some kilobytes however many there are, and mergeable.
+
+    Opt-in beside the exact counts: sketches of days or items can be stored and
+    merged later, but nothing can be taken out of one.
+    """
+    return watches.groupBy(key).agg(F.hll_sketch_agg("user_id", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, key: str) -> DataFrame:
+    """The approximate distinct count per ``key`` over the sketches that belong to it."""
+    return sketches.groupBy(key).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_count"))

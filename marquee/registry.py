@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import cached_property
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.functions import wire
 from marquee.operators import blocks, catalog, changes, quality, sessions
 from marquee.plans import admin, loading, panels, reports
 from marquee.schemas import struct
@@ -168,9 +170,26 @@ def _user_changes(t: Inputs) -> DataFrame:
     )
 
 
+def _plain_times(df: DataFrame) -> DataFrame:
+    """Times without a zone, as the given tables have them."""
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name, kind in df.dtypes if kind == "timestamp"})
+
+
 @query
 def unwrap_changes(t):
-    return _item_changes(t)
+    return _plain_times(_item_changes(t))
+
+
+@query
+def unwrap_user_changes(t):
+    return _plain_times(_user_changes(t))
+
+
+@query
+def decode_watches(t):
+    """Watches as JSON events with times in epoch milliseconds, those of one minute as tombstones."""
+    value = F.when(F.col("watched_seconds") > 60, F.to_json(wire.encode_row(schemas.WATCHES, wire.MILLIS)))
+    return _plain_times(changes.append_mirror(changes.decode_events(t.watches.select(value.alias("value")), schemas.WATCHES)))
 
 
 @query
@@ -180,12 +199,12 @@ def route_changes(t):
 
 @query
 def current_state(t):
-    return changes.current_state(_item_changes(t), ["item_id"])
+    return _plain_times(changes.current_state(_item_changes(t), ["item_id"]))
 
 
 @query
 def current_state_users(t):
-    return changes.current_state(_user_changes(t), ["user_id"])
+    return _plain_times(changes.current_state(_user_changes(t), ["user_id"]))
 
 
 @query
@@ -305,6 +324,16 @@ def full_sync_deletes(t):
     return changes.full_sync(t.item_rating_avg, _earlier_ratings(t), "item_id")
 
 
+@query
+def full_sync_applied(t):
+    """The averages of an earlier tick, stored, brought to the last ones by the change feed alone."""
+    root = f"{shared_dir(t.spark)}/sync-{uuid.uuid4().hex}"
+    earlier = _earlier_ratings(t)
+    mirror.apply_sync(root, changes.full_sync(earlier.limit(0), earlier, "item_id"), "item_id", 1)
+    mirror.apply_sync(root, changes.full_sync(tables.latest(t.spark, root), t.item_rating_avg, "item_id"), "item_id", 2)
+    return tables.latest(t.spark, root)
+
+
 @query
 def full_replace(t):
     """A table published as version 1, replaced by version 2, and read back."""
@@ -616,6 +645,50 @@ def load_pack(t):
     return after.items.select("item_id", "title", "release_year", "seed_source", "content_rating")
 
 
+def _stored_load(t: Inputs) -> str:
+    """The title pack loaded into a stored catalogue that has the items and users already; returns its root."""
+    root = f"{shared_dir(t.spark)}/catalogue-{uuid.uuid4().hex}"
+    nothing = loading.read_catalogue(t.spark, root)
+    filled = {name: getattr(nothing, name).unionByName(getattr(t, name), allowMissingColumns=True) for name in ("items", "users")}
+    loading.store(root, replace(nothing, **filled))
+    rows = normalise.normalise_titles(_title_rows(t), "large")
+    for _ in range(2):
+        try:
+            loading.load_stored(t.spark, root, "large", datetime(2024, 1, 1), rows, lookup=normalise.title_lookup(_lookup_rows(t)))
+        except catalog.AlreadyLoaded:
+            pass  # the second time
+    return root
+
+
+@query
+def load_stored_pack(t):
+    """Items, ids and all, of a stored load that was tried twice."""
+    items = loading.read_catalogue(t.spark, _stored_load(t)).items
+    return items.select("item_id", "title", "release_year", "seed_source", "content_rating")
+
+
+@query
+def load_stored_tables(t):
+    """Counter, log and vocabularies of the same load."""
+    after = loading.read_catalogue(t.spark, _stored_load(t))
+
+    def rows(kind, name, n):
+        return getattr(after, kind).select(F.lit(kind).alias("kind"), F.col(name).alias("name"), n.cast("bigint").alias("n"))
+
+    return admin.stack([
+        rows("counter", "prefix", F.col("next_n")), rows("log", "seed_name", F.col("item_count") + F.col("user_count")),
+        rows("genres", "name", F.lit(1)), rows("countries", "code", F.lit(1)), rows("languages", "code", F.lit(1)),
+    ])
+
+
+@query
+def load_guard(t):
+    """For every source and mode, whether a load is refused as a repeat."""
+    modes = F.explode(F.array(*map(F.lit, ["full", "items", "users"]))).alias("mode")
+    sources = t.catalogue.select(F.coalesce("seed_source", F.lit("none")).alias("seed_name")).distinct()
+    return catalog.refused(_load_log(t), sources.select("seed_name", modes))
+
+
 @query
 def mirror_log(t):
     """The whole change log streamed into the item and user state tables."""
@@ -811,6 +884,18 @@ def _content(read: Callable[[str], DataFrame]) -> DataFrame:
     return admin.stack([rows(name, *columns) for name, columns in REPORT_COLUMNS.items()])
 
 
+@query
+def approximate_watch_counts(t):
+    """Distinct viewers per type from sketches merged over items, and whether they are within the stated error of the exact count."""
+    sketches = reports.viewer_sketches(blocks.live_facts(t.watches, t.items, t.users), "item_id")
+    typed = sketches.join(t.items.select("item_id", "type"), "item_id")
+    merged = reports.merge_sketches(typed, "type")
+    exact = blocks.live_facts(t.watches, t.items, t.users).join(t.items.select("item_id", "type"), "item_id").groupBy("type").agg(
+        F.count_distinct("user_id").alias("viewers"))
+    return merged.join(exact, "type").select(
+        "type", "viewers", (F.abs(F.col("approx_count") - F.col("viewers")) <= 3 * reports.SKETCH_ERROR * F.col("viewers")).alias("within_error"))
+
+
 @query
 def refresh_tick(t):
     """A whole tick written and read back: the rows of every report table."""

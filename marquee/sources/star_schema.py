@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee import schemas
+from marquee.functions import wire
 from marquee.operators.changes import latest_by_key
 from marquee.schemas import struct
 
@@ -126,14 +128,33 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts(spark, sf_dir).filter(~_is_deleted_user()).drop("c_custkey")
 
 
-# What the change log carries of each table.
-ITEM_CHANGE = struct(
-    "item_id string, type string, title string, runtime_minutes integer, "
-    "genre_primary string, original_language string, catalog_status string"
-)
-USER_CHANGE = struct(
-    "user_id string, age integer, gender string, subscription_plan string, account_status string"
-)
+# What the change log carries of each table: all its columns.
+ITEM_CHANGE = T.StructType([T.StructField(f.name, f.dataType) for f in schemas.ITEMS])
+USER_CHANGE = T.StructType([T.StructField(f.name, f.dataType) for f in schemas.USERS])
+
+
+def _created(day: Column, key: Column) -> Column:
+    """A time on ``day`` with microseconds."""
+    return F.timestamp_micros(F.unix_date(day).cast("bigint") * 86_400_000_000 + key % 86_400 * 1_000_007)
+
+
+def full_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item row with all columns of the items table."""
+    key = F.col("p_partkey")
+    created = _created(F.col("date_added"), key)
+    return catalogue(spark, sf_dir).withColumns({
+        "created_at": created, "updated_at": F.when(key % 4 != 0, created + F.make_dt_interval(F.lit(1)))})
+
+
+def full_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user row with all columns of the users table."""
+    key = F.col("c_custkey")
+    spend = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").cast("decimal(6,2)").alias("monthly_spend_hours"))
+    created = _created(F.col("signup_date"), key)
+    return accounts(spark, sf_dir).join(spend, "c_custkey").withColumns({
+        "email": F.when(key % 9 != 0, F.concat(F.lit("c"), key, F.lit("@example.com"))), "first_name": F.lit("Ann"),
+        "last_name": F.lit(None).cast("string"), "state_province": F.lit(None).cast("string"), "city": F.initcap("occupation"),
+        "created_at": created, "updated_at": created})
 
 
 def _changes(rows: DataFrame, number: str, origin: str, row: T.StructType, status: str, deleted: Column) -> DataFrame:
@@ -143,8 +164,8 @@ def _changes(rows: DataFrame, number: str, origin: str, row: T.StructType, statu
     second deleted row, else as an envelope without an after image.
     """
     key, number = row.names[0], F.col(number)
-    final = F.struct(*row.names)
-    draft = F.struct(*[F.lit("draft").alias(c) if c == status else F.col(c) for c in row.names])
+    final = wire.encode_row(row)
+    draft = final.withField(status, F.lit("draft"))
 
     def envelope(before, after):
         return F.to_json(F.struct(before.alias("before"), after.alias("after")))
@@ -156,7 +177,7 @@ def _changes(rows: DataFrame, number: str, origin: str, row: T.StructType, statu
             value.alias("value"),
         )
 
-    nothing = F.lit(None).cast(row)
+    nothing = F.lit(None).cast(wire.wire_schema(row))
     records = F.array(
         record(0, F.lit(True), envelope(nothing, draft)),
         record(1, number % 3 != 1, envelope(draft, final)),
@@ -173,10 +194,10 @@ def _changes(rows: DataFrame, number: str, origin: str, row: T.StructType, statu
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of items and users in one log, ordered per key by ``seq``."""
     item_changes = _changes(
-        catalogue(spark, sf_dir), "p_partkey", "catalog.public.item", ITEM_CHANGE, "catalog_status", _is_deleted_item()
+        full_catalogue(spark, sf_dir), "p_partkey", "catalog.public.item", ITEM_CHANGE, "catalog_status", _is_deleted_item()
     )
     user_changes = _changes(
-        accounts(spark, sf_dir), "c_custkey", "catalog.public.app_user", USER_CHANGE, "account_status", _is_deleted_user()
+        full_accounts(spark, sf_dir), "c_custkey", "catalog.public.app_user", USER_CHANGE, "account_status", _is_deleted_user()
     )
     return item_changes.unionByName(user_changes)
 

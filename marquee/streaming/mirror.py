@@ -72,6 +72,27 @@ def read_state(spark, root: str) -> DataFrame | None:
     return None if known is None else known.filter(~F.col("is_delete")).drop("is_delete", "seq", RECONCILED, DELETED_AT)
 
 
+def apply_sync(root: str, changes: DataFrame, key: str, batch: int, writer: str = tables.DIRECT, parts: int = tables.PARTS) -> None:
+    """Merge the changes of ``full_sync`` into the table at ``root``: only parts with a changed key are written.
+
+    A table that does not exist yet is made from the inserts.
+    """
+    spark = changes.sparkSession
+    if tables.is_published(spark, root, batch, writer):
+        return
+    changes = tables.with_part(changes, [key], parts).persist()
+    try:
+        touched = [r[0] for r in changes.select(tables.PART).distinct().collect()]  # at most ``parts``
+        rows = changes.filter("action != 'delete'").drop("action")
+        known = tables.latest(spark, root, touched)
+        if known is not None:
+            kept = tables.with_part(known, [key], parts).join(changes.select(key), key, "left_anti")
+            rows = kept.unionByName(rows)
+        tables.publish_parts(rows, root, batch, touched, parts, writer)
+    finally:
+        changes.unpersist()
+
+
 def reconcile(state: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Change rows that delete the keys ``source`` no longer has.
 

@@ -165,14 +165,34 @@ def check(name: str, body: str, *reports: str) -> None:
 
 # Change streams and state
 
-_ITEM_FIELDS = "item_id, type, title, runtime_minutes, genre_primary, original_language"
-_USER_FIELDS = "user_id, age, gender, subscription_plan"
+# All columns of items and users, as the change log carries them.
+_ITEM_FIELDS = """item_id, type, title, description, release_year, date_added, runtime_minutes, season_count, episode_count,
+  content_rating, country, original_language, imdb_score, is_netflix_original, content_warning, genre_primary, genre_secondary,
+  seed_source, created_at, updated_at"""
+_USER_FIELDS = """user_id, age, gender, occupation, country, preferred_language, signup_date, subscription_plan, email, first_name,
+  last_name, state_province, city, monthly_spend_hours, primary_device, seed_source, created_at, updated_at"""
+_FULL_ITEMS = """(SELECT *, created AS created_at, CASE WHEN p_partkey % 4 <> 0 THEN created + INTERVAL 1 DAY END AS updated_at FROM
+  (SELECT *, date_added::TIMESTAMP + to_microseconds(p_partkey % 86400 * 1000007) AS created FROM catalogue))"""
+_FULL_USERS = """(SELECT a.*, CASE WHEN c_custkey % 9 <> 0 THEN 'c' || c_custkey || '@example.com' END AS email, 'Ann' AS first_name,
+  CAST(NULL AS VARCHAR) AS last_name, CAST(NULL AS VARCHAR) AS state_province, upper(occupation[1]) || occupation[2:] AS city,
+  CAST(c_acctbal AS DECIMAL(6,2)) AS monthly_spend_hours, signup_date::TIMESTAMP + to_microseconds(c_custkey % 86400 * 1000007) AS created_at,
+  signup_date::TIMESTAMP + to_microseconds(c_custkey % 86400 * 1000007) AS updated_at
+  FROM accounts a JOIN customer USING (c_custkey))"""
 
-check("unwrap_changes", f"""
-SELECT {_ITEM_FIELDS}, 'draft' AS catalog_status, false AS is_delete, p_partkey * 4 AS seq FROM catalogue
-UNION ALL SELECT {_ITEM_FIELDS}, catalog_status, false, p_partkey * 4 + 1 FROM catalogue WHERE p_partkey % 3 <> 1
-UNION ALL SELECT item_id, NULL, NULL, NULL, NULL, NULL, NULL, true, p_partkey * 4 + 2 FROM catalogue WHERE p_partkey % 50 = 7
-""")
+
+def _unwrapped(fields: str, status: str, rows: str, number: str, deleted: str) -> str:
+    """Created as a draft, completed, deleted."""
+    key, *rest = [f.strip() for f in fields.split(",")]
+    return f"""
+SELECT {fields}, 'draft' AS {status}, false AS is_delete, {number} * 4 AS seq FROM {rows}
+UNION ALL BY NAME SELECT {fields}, {status}, false AS is_delete, {number} * 4 + 1 AS seq FROM {rows} WHERE {number} % 3 <> 1
+UNION ALL BY NAME SELECT {key}, true AS is_delete, {number} * 4 + 2 AS seq FROM {rows} WHERE {deleted}
+"""
+
+
+check("unwrap_changes", _unwrapped(_ITEM_FIELDS, "catalog_status", _FULL_ITEMS, "p_partkey", "p_partkey % 50 = 7"))
+check("unwrap_user_changes", _unwrapped(_USER_FIELDS, "account_status", _FULL_USERS, "c_custkey", "c_custkey % 40 = 3"))
+check("decode_watches", "SELECT * FROM watch_events WHERE watched_seconds > 60")
 check("route_changes", """
 SELECT 'catalog.public.app_user' AS origin, '{"user_id":"' || user_id || '"}' AS key, c_custkey * 4 + step AS seq
 FROM accounts, (VALUES (0), (1), (2)) s(step)
@@ -180,11 +200,11 @@ WHERE step = 0 OR (step = 1 AND c_custkey % 3 <> 1) OR (step = 2 AND c_custkey %
 """)
 check("current_state", f"""
 SELECT {_ITEM_FIELDS}, CASE WHEN p_partkey % 3 = 1 THEN 'draft' ELSE catalog_status END AS catalog_status
-FROM catalogue WHERE p_partkey % 50 <> 7
+FROM {_FULL_ITEMS} WHERE p_partkey % 50 <> 7
 """)
 check("current_state_users", f"""
 SELECT {_USER_FIELDS}, CASE WHEN c_custkey % 3 = 1 THEN 'draft' ELSE account_status END AS account_status
-FROM accounts WHERE c_custkey % 40 <> 3
+FROM {_FULL_USERS} WHERE c_custkey % 40 <> 3
 """)
 check("latest_ratings", "SELECT * FROM ratings")
 check("append_mirror", "SELECT * FROM watch_events WHERE watched_seconds > 60")
@@ -232,6 +252,7 @@ WHERE o.item_id IS NULL OR n.item_id IS NULL OR o.avg_rating IS DISTINCT FROM n.
 """
 check("full_sync_changes", _SYNC.format(old=_EARLY, new="item_rating_avg"), "item_rating_avg")
 check("full_sync_deletes", _SYNC.format(old="item_rating_avg", new=_EARLY), "item_rating_avg")
+check("full_sync_applied", "SELECT * FROM item_rating_avg", "item_rating_avg")
 check("full_replace", "SELECT * FROM item_view_ranking", "item_view_ranking")
 check("retention", """
 SELECT * EXCLUDE (seq) FROM heartbeats
@@ -394,6 +415,29 @@ SELECT 'i' || ((SELECT max(CAST(substr(item_id, 2) AS BIGINT)) FROM items) + row
   title, release_year, seed_source, coalesce(r, content_rating)
 FROM fresh LEFT JOIN lookup ON t = lower(title) AND y = release_year
 """)
+_LOADED = f""", {_TITLES}, {_FRESH.replace("i.seed_source = 'pack1' AND ", "")}, {_LOOKUP}"""
+check("load_stored_pack", f"""{_LOADED}
+SELECT item_id, title, release_year, seed_source, content_rating FROM items
+UNION ALL
+SELECT 'i' || ((SELECT max(CAST(substr(item_id, 2) AS BIGINT)) FROM items) + row_number() OVER (ORDER BY _order)),
+  title, release_year, seed_source, coalesce(r, content_rating)
+FROM fresh LEFT JOIN lookup ON t = lower(title) AND y = release_year
+""")
+check("load_stored_tables", f"""{_LOADED}, whole AS (
+  SELECT genre_primary, genre_secondary, country, original_language FROM items
+  UNION ALL SELECT genre_primary, genre_secondary, country, original_language FROM fresh
+)
+SELECT 'counter' AS kind, 'i' AS name,
+  CAST((SELECT max(CAST(substr(item_id, 2) AS BIGINT)) FROM items) + (SELECT count(*) FROM fresh) AS BIGINT) AS n
+UNION ALL SELECT 'log', 'large', (SELECT count(*) FROM fresh)
+UNION ALL SELECT 'genres', g, 1 FROM (SELECT genre_primary AS g FROM whole UNION SELECT genre_secondary FROM whole) WHERE g IS NOT NULL
+UNION ALL SELECT 'countries', c, 1 FROM (SELECT country AS c FROM whole UNION SELECT country FROM users) WHERE c IS NOT NULL
+UNION ALL SELECT 'languages', l, 1 FROM (SELECT original_language AS l FROM whole UNION SELECT preferred_language FROM users) WHERE l IS NOT NULL
+""")
+check("load_guard", f"""
+SELECT seed_name, mode, seed_name || CASE mode WHEN 'full' THEN '' ELSE ':' || mode END IN (SELECT seed_name FROM {_LOADS}) AS refused
+FROM (SELECT DISTINCT coalesce(seed_source, 'none') AS seed_name FROM catalogue), (VALUES ('full'), ('items'), ('users')) m(mode)
+""")
 check("mirror_log", """
 SELECT item_id AS id, CASE WHEN p_partkey % 3 = 1 THEN 'draft' ELSE catalog_status END AS status
 FROM catalogue WHERE p_partkey % 50 <> 7
@@ -494,6 +538,9 @@ _CONTENT = " UNION ALL ".join([
     _content("user_top_device_language", "user_id", "top_device top_language", "device_watch_count language_watch_count"),
     _content("user_watch_count", "user_id", "", "distinct_items_watched total_watches"),
 ])
+check("approximate_watch_counts", """
+SELECT type, count(DISTINCT user_id) AS viewers, true AS within_error FROM lw JOIN items USING (item_id) GROUP BY type
+""")
 check("incremental_reports", _CONTENT, *REPORTS)
 check("refresh_tick", _CONTENT, *REPORTS)
 # A tick uses the default window of ten minutes for the two rankings.

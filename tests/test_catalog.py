@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from marquee import schemas
 from marquee.operators import catalog
 from marquee.plans import loading
-from marquee.sources import files, normalise
+from marquee.schemas import struct
+from marquee.sources import files, normalise, tables
 
 TITLES = '''id,title,type,description,release_year,age_certification,runtime,genres,production_countries,seasons,imdb_id,imdb_score,imdb_votes,tmdb_popularity,tmdb_score
 t1,Long Road,MOVIE,"Dust, heat
@@ -206,3 +207,71 @@ def test_loading_and_unloading_packs(spark, folder):
 
 def rows_of(spark, folder):
     return files.read_titles(spark, f"{folder}/titles.csv")[0]
+
+
+def _pack(spark, *titles):
+    rows = [(t, 2000, "movie", "drama", "US", n) for n, t in enumerate(titles)]
+    return spark.createDataFrame(rows, f"title string, release_year int, type string, genre_primary string, country string, {files.ORDER} long")
+
+
+def _stored(spark, root):
+    after = loading.read_catalogue(spark, root)
+    ids = {r.title: r.item_id for r in after.items.collect()}
+    return ids, {r.prefix: r.next_n for r in after.counter.collect()}, sorted(r.seed_name for r in after.log.collect()), sorted(r.name for r in after.genres.collect())
+
+
+def test_a_stored_load_commits_all_tables_or_nothing(spark, tmp_path, monkeypatch):
+    root, at = f"{tmp_path}/catalogue", datetime(2024, 1, 1)
+    brought = loading.load_stored(spark, root, "one", at, _pack(spark, "a", "b"))
+    assert (brought.items, brought.genres) == (2, 1)
+    first = ({"a": "i1", "b": "i2"}, {"i": 2}, ["one"], ["drama"])
+    assert _stored(spark, root) == first
+
+    def fail(*args):
+        raise OSError("no space")
+
+    with monkeypatch.context() as broken:  # all tables are written, the ledger entry is not
+        broken.setattr(tables, "_create", fail)
+        with pytest.raises(OSError):
+            loading.load_stored(spark, root, "two", at, _pack(spark, "b", "c"))
+    assert _stored(spark, root) == first
+    with monkeypatch.context() as broken:  # it fails between two tables
+        one = spark.createDataFrame([("x", 1, 1, at)], schemas.LOAD_LOG)
+        broken.setattr(catalog, "record_load", lambda *_, **__: one.withColumn("seed_name", F.raise_error(F.lit("broken")).cast("string")))
+        with pytest.raises(Exception, match="broken"):
+            loading.load_stored(spark, root, "two", at, _pack(spark, "b", "c"))
+    assert _stored(spark, root) == first
+    loading.load_stored(spark, root, "two", at, _pack(spark, "b", "c"))
+    second = ({"a": "i1", "b": "i2", "c": "i3"}, {"i": 3}, ["one", "two"], ["drama"])
+    assert _stored(spark, root) == second
+    with pytest.raises(catalog.AlreadyLoaded):
+        loading.load_stored(spark, root, "two", at, _pack(spark, "d"))
+    loading.load_stored(spark, root, "two", at, _pack(spark, "d"), mode="items")
+    assert _stored(spark, root)[1:3] == ({"i": 4}, ["one", "two", "two:items"])
+
+    # unloading keeps the counter: no id is used again
+    loading.store(root, loading.unload(loading.read_catalogue(spark, root), "none"))
+    loading.store(root, loading.delete_genres(loading.read_catalogue(spark, root), ["drama"]))
+    assert _stored(spark, root)[1:] == ({"i": 4}, ["one", "two", "two:items"], [])
+
+
+def test_a_stored_load_refuses_rejected_rows_and_loses_no_race(spark, tmp_path, monkeypatch):
+    root, at = f"{tmp_path}/catalogue", datetime(2024, 1, 1)
+    (tmp_path / "titles.csv").write_text("id,title\n1,a\n2,b,too,many\n")
+    _, rejects = files.read_titles(spark, f"{tmp_path}/titles.csv", struct("id string, title string"))
+    with pytest.raises(ValueError, match="too,many"):
+        loading.load_stored(spark, root, "one", at, _pack(spark, "a"), rejects=rejects)
+    assert tables.current_version(spark, root) is None
+
+    create = tables._create
+
+    def late(*args):
+        monkeypatch.setattr(tables, "_create", create)
+        loading.load_stored(spark, root, "fast", at, _pack(spark, "a", "x"))
+        return create(*args)
+
+    monkeypatch.setattr(tables, "_create", late)
+    with pytest.raises(tables.Conflict):
+        loading.load_stored(spark, root, "slow", at, _pack(spark, "a", "y"), rejects=rejects.limit(0))
+    loading.load_stored(spark, root, "slow", at, _pack(spark, "a", "y"))
+    assert _stored(spark, root)[:3] == ({"a": "i1", "x": "i2", "y": "i3"}, {"i": 3}, ["fast", "slow"])

@@ -1,10 +1,13 @@
 import datetime
 import math
+from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marquee.functions import parsing
+from marquee.functions import parsing, wire
 
 
 def parsed(spark, function, cells):
@@ -72,3 +75,29 @@ def test_dates(spark):
 ])
 def test_parse_list(spark, cell, expected):
     assert parsed(spark, parsing.parse_list, [cell]) == [expected]
+
+
+def test_wire_values(spark):
+    """Unscaled decimals as producers may write them: minimal, sign-extended, empty, too large for the type."""
+    cases = [
+        (b"\x00\xc8", Decimal("20.0")), (b"\x54", Decimal("8.4")), (b"\xff", Decimal("-0.1")), (b"\xfc\x18", None),
+        (b"\xff\xff\xff\xff\xff\xff\xff\xff\xff\xb0", Decimal("-8.0")), (b"\x00" * 12 + b"\x07", Decimal("0.7")), (b"", Decimal("0.0")), (None, None),
+    ]
+    kind = T.DecimalType(3, 1)
+    rows = spark.createDataFrame([(n, raw) for n, (raw, _) in enumerate(cases)], "n int, raw binary")
+    found = rows.select("n", wire.decode(F.col("raw"), kind).alias("v")).orderBy("n").collect()
+    assert [r.v for r in found] == [v for _, v in cases]
+
+
+def test_rows_survive_the_wire(spark):
+    row = T.StructType([T.StructField("d", T.DecimalType(6, 2)), T.StructField("day", T.DateType()), T.StructField("at", T.TimestampType()), T.StructField("s", T.StringType())])
+    at = datetime.datetime(1969, 12, 31, 23, 59, 59, 123000)
+    values = [(Decimal(n).scaleb(-2), date(1965, 1, 1) + timedelta(days=n), at + timedelta(days=n), str(n)) for n in (-99999, -256, -1, 0, 1, 127, 128, 255, 256, 999999)]
+    frame = spark.createDataFrame([*values, (None, None, None, None)], row)
+    for times in (wire.ISO, wire.MILLIS):
+        text = F.to_json(wire.encode_row(row, times))
+        image = F.from_json(text, wire.wire_schema(row, times))
+        back = frame.select(*row.names, image.alias("image")).select(*row.names, wire.decode_row(F.col("image"), row, times).alias("back"))
+        assert all(tuple(r.back) == tuple(r)[:4] for r in back.collect())
+    with pytest.raises(ValueError):
+        wire.wire_schema(T.StructType([T.StructField("d", T.DecimalType(30, 2))]))
