@@ -115,7 +115,7 @@ def _closest(units: DataFrame, template: DataFrame, seen: DataFrame, total: int,
 
 
 def _line_units(lines: DataFrame, anchor: Column, sizes: list[int]) -> DataFrame:
-    """(path, unit) of ``lines`` (path, words): each line, and its runs of as many words as a template has, with an anchor in them.
+    """(line, unit) of distinct ``lines`` (line, words): each line, and its runs of as many words as a template has, with an anchor in them.
 
     A run is cut out around each anchor, so a long line gives no more than its anchors do.
     """
@@ -124,15 +124,15 @@ def _line_units(lines: DataFrame, anchor: Column, sizes: list[int]) -> DataFrame
     around = F.transform(places, lambda i: F.struct(
         F.slice("words", F.greatest(i - widest + 2, F.lit(1)), F.least(i + widest, F.size("words")) - F.greatest(i - widest + 1, F.lit(0))).alias("near"),
         F.least(i, F.lit(widest - 1)).alias("at")))
-    near = lines.select("path", F.explode(around).alias("x")).select("path", "x.*").distinct()
+    near = lines.select("line", F.explode(around).alias("x")).select("line", "x.*").distinct()
 
     def runs(size: int) -> Column:
         last = F.greatest(F.size("near") - size, F.lit(0))
         first = F.least(F.greatest(F.col("at") - size + 1, F.lit(0)), last)
         return F.transform(F.sequence(first, F.least("at", last)), lambda i: F.array_join(F.slice("near", i + 1, size), " "))
 
-    found = near.select("path", F.explode(F.array_distinct(F.concat(*map(runs, sizes)))).alias("unit"))
-    return found.unionByName(lines.select("path", F.array_join("words", " ").alias("unit"))).distinct()
+    found = near.select("line", F.explode(F.array_distinct(F.concat(*map(runs, sizes)))).alias("unit"))
+    return found.unionByName(lines.select("line", F.array_join("words", " ").alias("unit"))).distinct()
 
 
 def directory(path: Column) -> Column:
@@ -187,12 +187,14 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, least: float = 0.7, pat
         F.size(F.array_intersect(held, F.array(*map(F.lit, must)))) == len(set(must)) for _, _, must in full), F.lit(False))
     near = stored(rows.filter(F.exists(
         F.array(F.array_intersect(text_words(F.col("text")), asked)), lambda held: F.arrays_overlap(held, anchor) | copy(held))))
-    lines = near.select("path", F.explode(F.split("text", "\n")).alias("part"))
-    lines = lines.select("path", text_words(F.col("part")).alias("words")).filter(F.arrays_overlap("words", anchor))
-    units = stored(_line_units(lines, anchor, sorted({len(words) for _, words, _ in found if words} or {1})))
-    # a unit that many files hold is measured once
+    # a line that many files hold is cut into runs once, and a unit that many lines hold is measured once
+    lines = near.select("path", F.explode(F.split("text", "\n")).alias("line"))
+    lines = stored(lines.filter(F.arrays_overlap(text_words(F.col("line")), anchor)).distinct())
+    cut = lines.select("line").distinct().withColumn("words", text_words(F.col("line")))
+    units = stored(_line_units(cut, anchor, sorted({len(words) for _, words, _ in found if words} or {1})))
     measured = _closest(units.select("unit").distinct().withColumn("words", F.split("unit", " ")), template, seen, total, "unit", least)
-    header = units.join(measured, "unit").groupBy("path").agg(F.min("best").alias("best"))
+    by_line = stored(units.join(measured, "unit").groupBy("line").agg(F.min("best").alias("best")))
+    header = lines.join(by_line, "line").groupBy("path").agg(F.min("best").alias("best"))
     whole = _closest(near.select("path", text_words(F.col("text")).alias("words")), template, seen, total, "path", least)
     if full:
         copies = near.select("path", text_words(F.col("text")).alias("words")).filter(copy(F.col("words")))
