@@ -33,6 +33,8 @@ from marquee.llm.shared import arrays, components, filled, mixed, partitions, sh
 # Members and bytes of sketches of a segment that are compared at once.
 BLOCK, BLOCK_BYTES = 1024, 2 << 20
 FILTER_BITS = 1 << 23
+# Sets that a task remembers to sign each only once: at most 10 MB. Further ones are signed again, which changes nothing but time.
+SETS_KNOWN = 100_000
 
 
 def link_rule(similarity: float) -> tuple[int, int]:
@@ -105,7 +107,7 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, id_col: str, tex
                 new = len(found) and node not in before
                 keys.append(segment_keys(found, num, den) if new else None)
                 sketches.append(parity_sketch(found) if new else None)
-                if len(before) < 1_000_000:
+                if len(before) < SETS_KNOWN:
                     before.add(node)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())),

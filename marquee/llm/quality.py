@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import Cached, arrays, filled, sample_ids
+from marquee.llm.shared import Kept, arrays, filled, sample_ids
 
 WORDS, SHAPES = 1536, 1024
 TERMS = WORDS + SHAPES
@@ -50,8 +50,7 @@ def _terms(word: str) -> int:
     return own << 16 | shape
 
 
-# Kept by a Python worker from task to task.
-_TERMS = Cached(_terms)
+_TERMS = Kept(_terms)
 
 
 def features(text: str | None) -> np.ndarray:

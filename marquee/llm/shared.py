@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from marquee.session import shared_dir
 
-# Entries that a word cache of one Python worker may hold.
+# Entries that a word cache of one task may hold.
 CACHE_WORDS = 300_000
+# Entries of a cache that a Python worker keeps from task to task, and characters of a word in it: at most 10 MB.
+KEPT_WORDS, KEPT_CHARS = 50_000, 64
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +36,13 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Cuts the lineage and survives lost executors; the reread table also has a
-    known size, by which Spark decides on a broadcast.
+    known size, by which Spark decides on a broadcast. Written by Zstandard,
+    which gives its native memory back when a file is closed; the default codec
+    keeps direct buffers until the next full collection, and many small tasks
+    pile them up.
     """
     folder = f"{scratch(df.sparkSession)}/t"
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -69,8 +74,18 @@ class Cached(dict):
         return value
 
 
-# Hashes of words, kept by a Python worker from task to task.
-HASHES = Cached(xxhash.xxh3_64_intdigest)
+class Kept(Cached):
+    """A cache that outlives its task, and is small for that."""
+
+    def __init__(self, of: Callable):
+        super().__init__(of, KEPT_WORDS)
+
+    def __missing__(self, key):
+        return super().__missing__(key) if len(key) <= KEPT_CHARS else self.of(key)
+
+
+# Hashes of words.
+HASHES = Kept(xxhash.xxh3_64_intdigest)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
