@@ -1,17 +1,21 @@
 """A class-based bigram language model: class transitions and word emissions.
 
-Exchange clustering gives every word a class. It starts with the most frequent
-words, which are moved one by one to the class that raises the likelihood of
-their bigrams most. Then one exchange step with those classes frozen covers all
-other words of the corpus, from the classes of the frequent words beside them:
-words down to a rank of their own, rarer ones and words never seen together with
-those that share their ending. Counts, transitions and emissions cover all
-training documents.
+Exchange clustering gives every word of the training texts a class. It starts
+with the most frequent words, which are moved one by one to the class that
+raises the likelihood of their bigrams most. Then every other word moves, all of
+a round at once against the classes of the round before: a table keyed by word
+holds how often each class stands beside the word, and the word goes to the
+class under which these neighbours are likeliest. The number of classes grows
+with the vocabulary. Counts, transitions and emissions cover all training
+documents.
 
     P(word | word before) = P(class | class before) * (c + d) / (N_class + d * (V_class + 1))
 
-Counts of the most frequent words are broadcast (a fixed number); the counts of
-all other words meet the documents' words in a join, which so has no hot key.
+Texts are cut into words twice: to count the words, and to write each text as
+word numbers, of which all later passes are array operations. Numbers, counts and
+classes of the most frequent words (a fixed number) are broadcast; those of all
+other words are tables that meet the documents' words in a join, which so has
+no hot key.
 """
 
 from __future__ import annotations
@@ -23,23 +27,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import Cached, arrays, filled, stored, words
+from marquee.llm.shared import arrays, filled, stored, words
 
 FLUSH = 300_000
 
 
 @dataclass(frozen=True)
 class Sizes:
-    """Fixed bounds of what is broadcast."""
+    """Bounds of what is broadcast, and how long the clustering goes on."""
 
-    classes: int = 32
+    classes: int | None = None  # None: by the vocabulary
     first: int = 512  # words clustered one by one
-    ranked: int = 8192  # words with a class of their own
-    endings: int = 1 << 14  # groups of the other words
-    frequent: int = 131_072  # words whose counts are broadcast
+    frequent: int = 131_072  # words whose counts and classes are broadcast
+    rounds: int = 3  # at most, of exchange of all other words
+    moved: float = 0.02  # fewer moves than this share of the frequent words end it
+
+    def number(self, vocabulary: int) -> int:
+        """Two classes per fourth root of the vocabulary; so many that a class fits in a byte."""
+        return self.classes or max(8, min(200, round(2 * vocabulary ** 0.25)))
 
 
 def _emit(counts: dict, names: list[str]) -> pa.RecordBatch:
@@ -83,33 +92,97 @@ def frequent_words(vocabulary: DataFrame, most: int) -> dict[bytes, int]:
     return {bytes(r["word"]): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], bytes(r["word"])))}
 
 
-def _summed(texts: DataFrame, codes) -> DataFrame:
-    """(code, n): how often ``codes(list of words)`` gives each code; added up per task first."""
+# Groups of words by their last three bytes, and how many neighbours the classes of a word's ending weigh against.
+ENDINGS, LEANING = 1 << 14, 3
+
+
+def ending(word: bytes) -> int:
+    return zlib.crc32(word[-3:]) % ENDINGS
+
+
+def rare_number(word: bytes) -> int:
+    """The number of a word that is not broadcast: below zero, 49 bits of its hash before its ending."""
+    return -((xxhash.xxh3_64_intdigest(word) >> 15 << 14) | ending(word)) - 1
+
+
+def ending_of(number: np.ndarray) -> np.ndarray:
+    return (-(number + 1)) & (ENDINGS - 1)
+
+
+def numbered_words(vocabulary: DataFrame, ranks) -> DataFrame:
+    """(number, c) of the words that are not broadcast."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ranks.value
+        for batch in filled(batches):
+            rows = [(rare_number(w), c) for w, c in zip(arrays(batch, "word"), arrays(batch, "c")) if w not in known]
+            numbers, counts = zip(*rows) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(counts, pa.int64())], names=["number", "c"])
+
+    return stored(vocabulary.mapInArrow(number, "number bigint, c bigint"))
+
+
+def as_numbers(texts: DataFrame, ranks) -> DataFrame:
+    """(uid, id, held_out, numbers): every text as the numbers of its words, eight bytes each: rank, or ``rare_number``."""
+    key = texts.schema["id"].dataType.simpleString()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        rank = ranks.value.get
+        uid = TaskContext.get().partitionId() << 40
+        for batch in filled(batches):
+            coded = []
+            for text in arrays(batch, "text"):
+                found = words(text)
+                numbers = np.fromiter((rank(w, -1) for w in found), np.int64, len(found))
+                for k in np.flatnonzero(numbers < 0):
+                    numbers[k] = rare_number(found[k])
+                coded.append(numbers.tobytes())
+            uids = np.arange(uid, uid + batch.num_rows)
+            uid += batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(uids), batch.column(0), batch.column(1), pa.array(coded, pa.binary())], names=["uid", "id", "held_out", "numbers"])
+
+    return stored(texts.select("id", "held_out", "text").mapInArrow(encode, f"uid bigint, id {key}, held_out boolean, numbers binary"))
+
+
+def _summed(texts: DataFrame, column: str, pairs, kind=np.int64) -> DataFrame:
+    """(x, y, n): how often ``pairs()(array)`` gives the pair (x, y); added up per task first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, held, size = codes(), [], 0
+        of, held, size = pairs(), [], 0
 
         def flushed():
-            code, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
+            x, y = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((y, x))
+            x, y = x[order], y[order]
+            starts = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+            n = np.diff(np.append(starts, len(x)))
+            return pa.RecordBatch.from_arrays([pa.array(x[starts]), pa.array(y[starts]), pa.array(n)], names=["x", "y", "n"])
 
         for batch in filled(batches):
-            for text in arrays(batch, "text"):
-                found = of(words(text))
-                held.append(found)
-                size += len(found)
-                if size > 4_000_000:
+            for data in arrays(batch, column):
+                x, y = of(np.frombuffer(data, kind))
+                if len(x):
+                    held.append((x, y))
+                    size += len(x)
+                if size > 2_000_000:
                     yield flushed()
                     held, size = [], 0
         if size:
             yield flushed()
 
-    return texts.mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.select(column).mapInArrow(count, "x bigint, y bigint, n bigint").groupBy("x", "y").agg(F.sum("n").alias("n"))
 
 
-def _columns(df: DataFrame) -> list[np.ndarray]:
-    table = df.toArrow()
-    return [table.column(name).to_numpy() for name in table.column_names]
+def _matrix(sums: DataFrame, size: int) -> np.ndarray:
+    """The (x, y, n) of ``_summed`` with x and y below ``size`` as a matrix."""
+    table = sums.toArrow()
+    x, y, n = (table.column(name).to_numpy() for name in ("x", "y", "n"))
+    counts = np.zeros((max(1, size), max(1, size)), np.int64)
+    counts[x, y] = n
+    return counts
 
 
 def exchange(counts: np.ndarray, classes: int, rounds: int = 12) -> np.ndarray:
@@ -153,120 +226,94 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = 12) -> np.ndarray:
             break
     return at
 
+def _likelihoods(moves: np.ndarray) -> np.ndarray:
+    """(2 * classes, classes): log likelihood of a class right after, and right before, a word of each class."""
+    moves = moves + 0.5
+    return np.concatenate([np.log(moves / moves.sum(axis=0)), np.log(moves / moves.sum(axis=1, keepdims=True)).T])
 
-@dataclass
-class Classes:
-    """Class of any word: its own if it is ranked, else that of its ending."""
 
-    ranked: dict[bytes, int]
-    of: np.ndarray  # class of a rank, then of an ending
+def _leanings(of: np.ndarray, endings: np.ndarray, classes: int) -> np.ndarray:
+    """(ENDINGS, classes): log share of the classes among the frequent words with an ending, smoothed by all of them."""
+    known = of >= 0
+    found = np.bincount(endings[known] * classes + of[known], minlength=ENDINGS * classes).reshape(ENDINGS, classes)
+    share = (found.sum(axis=0) + 1) / (found.sum() + classes)
+    return np.log((found + 2 * share) / (found.sum(axis=1, keepdims=True) + 2)).astype(np.float32)
 
-    def group(self, word: bytes) -> int:
-        rank = self.ranked.get(word)
-        return rank if rank is not None else len(self.ranked) + zlib.crc32(word[-3:]) % (len(self.of) - len(self.ranked))
 
-    def __call__(self, word: bytes) -> int:
-        return int(self.of[self.group(word)])
+def cluster(numbers: DataFrame, frequent: list[bytes], sizes: Sizes, classes: int) -> tuple[np.ndarray, DataFrame | None]:
+    """Class of every frequent word, -1 if no classed word ever stands beside it, and (number, class) of all others.
 
-
-def cluster(texts: DataFrame, frequent: list[bytes], sizes: Sizes) -> Classes:
-    """Exchange clustering of all words; ``frequent`` are the most frequent, in order."""
-    spark = texts.sparkSession.sparkContext
-    first = {w: k for k, w in enumerate(frequent[:sizes.first])}
-    known = spark.broadcast(first)
+    A word's neighbours are weighed together with the classes that frequent words
+    of its ending have, which tells only where the neighbours are few.
+    """
+    spark = numbers.sparkSession.sparkContext
+    endings = np.fromiter(map(ending, frequent), np.int64, len(frequent)) if frequent else np.zeros(1, np.int64)
+    frequent = len(frequent)
+    first = min(sizes.first, frequent)
 
     def bigrams():
-        index = known.value
-        return lambda found: _bigrams(np.array([index.get(w, -1) for w in found], np.int64), len(index))
-
-    counts = np.zeros(max(1, len(first)) ** 2, np.int64)
-    code, n = _columns(_summed(texts, bigrams))
-    counts[code] = n
-    counts = counts.reshape(max(1, len(first)), -1)
-    start = exchange(counts, sizes.classes)
-
-    ranked = {w: k for k, w in enumerate(frequent[:sizes.ranked])}
-    table = Classes(ranked, np.zeros(len(ranked) + sizes.endings, np.int16))
-    shared = spark.broadcast((table, start))
-    width = 2 * sizes.classes
-
-    def contexts():
-        classes, of = shared.value
-        groups = Cached(classes.group)
-        return lambda found: _contexts(np.fromiter(map(groups.__getitem__, found), np.int64, len(found)), of, sizes.classes)
-
-    member = np.eye(sizes.classes)[start]
-    moves = member.T @ counts @ member + 0.5
-    after = np.log(moves / moves.sum(axis=1, keepdims=True))
-    # exchange with frozen classes: the likelihood of the neighbours' classes under each class
-    weights = np.concatenate([after, np.log(moves / moves.sum(axis=0)).T])
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in filled(batches):
-            best = []
-            for found in arrays(batch, "found"):
-                feature = np.array([x["feature"] for x in found])
-                best.append(int(np.argmax(np.array([x["n"] for x in found]) @ weights[feature])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.int32())], names=["grp", "class"])
-
-    by_group = (_summed(texts, contexts)
-                .select(F.floor(F.col("code") / width).alias("grp"), F.struct((F.col("code") % width).alias("feature"), "n").alias("x"))
-                .groupBy("grp").agg(F.sort_array(F.collect_list("x")).alias("found")))  # at most 2 * classes entries
-    group, best = _columns(by_group.mapInArrow(choose, "grp bigint, class int"))
-    table.of[group] = best
-    table.of[:len(first)] = start[:len(first)]
-    return table
-
-
-def _bigrams(at: np.ndarray, size: int) -> np.ndarray:
-    both = (at[:-1] >= 0) & (at[1:] >= 0)
-    return at[:-1][both] * size + at[1:][both]
-
-
-def _contexts(group: np.ndarray, of: np.ndarray, classes: int) -> np.ndarray:
-    """Codes of (group of a word, class of a clustered neighbour); the right neighbours' classes follow the left ones."""
-    seen = group < len(of)
-    klass = of[np.where(seen, group, 0)]
-    left = group[1:][seen[:-1]] * 2 * classes + klass[:-1][seen[:-1]]
-    right = group[:-1][seen[1:]] * 2 * classes + classes + klass[1:][seen[1:]]
-    return np.concatenate([left, right])
-
-
-def _transitions(texts: DataFrame, classes: Classes, size: int) -> np.ndarray:
-    """Counts of class pairs; ``size`` is the class of the end, which also stands before a text."""
-    shared = texts.sparkSession.sparkContext.broadcast(classes)
-
-    def pairs():
-        of = Cached(shared.value)
-
-        def code(found):
-            at = np.full(len(found) + 2, size, np.int64)
-            at[1:-1] = np.fromiter(map(of.__getitem__, found), np.int64, len(found))
-            return at[:-1] * (size + 1) + at[1:]
-
-        return code
-
-    counts = np.zeros((size + 1) ** 2, np.int64)
-    code, n = _columns(_summed(texts, pairs))
-    counts[code] = n
-    return counts.reshape(size + 1, -1)
+        def of(at):
+            both = (at[:-1] >= 0) & (at[1:] >= 0) & (at[:-1] < first) & (at[1:] < first)
+            return at[:-1][both], at[1:][both]
+        return of
+
+    counts = _matrix(_summed(numbers, "numbers", bigrams), first)
+    start = exchange(counts, classes)
+    member = np.eye(classes)[start]
+    moves = member.T @ counts @ member
+    of = np.full(max(1, frequent), -1, np.int16)
+    of[:first] = start[:first]
+    best = None
+    for turn in range(sizes.rounds):
+        shared = spark.broadcast((of, _likelihoods(moves), _leanings(of, endings, classes), endings))
+
+        def beside():
+            known = shared.value[0]
+
+            def pairs(at):
+                klass = np.where(at >= 0, known[np.maximum(at, 0)], -1).astype(np.int64)
+                left, right = klass[:-1] >= 0, klass[1:] >= 0
+                return (np.concatenate([at[1:][left], at[:-1][right]]),
+                        np.concatenate([klass[:-1][left], classes + klass[1:][right]]))
+            return pairs
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            _, weights, leaning, tails = shared.value
+            for batch in filled(batches):
+                found = []
+                numbers_ = batch.column(0).to_numpy()
+                for number, row in zip(numbers_, arrays(batch, "found")):
+                    at, n = np.array([x["y"] for x in row]), np.array([x["n"] for x in row])
+                    gain = n @ weights[at]
+                    found.append(int(np.argmax(gain + LEANING * leaning[tails[number] if number >= 0 else ending_of(number)])))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], names=["number", "class"])
+
+        neighbours = _summed(numbers, "numbers", beside).groupBy("x").agg(
+            F.sort_array(F.collect_list(F.struct("y", "n"))).alias("found"))  # at most 2 * classes entries
+        best = stored(neighbours.mapInArrow(choose, "number bigint, class int"))
+        table = best.filter("number >= 0").toArrow()  # at most ``frequent`` rows
+        at, new = table.column("number").to_numpy(), table.column("class").to_numpy()
+        later = at >= first
+        now = of.copy()
+        now[at[later]] = new[later]
+        moved = int((now != of).sum())
+        of = now
+        if turn and moved <= sizes.moved * frequent:
+            break
+        if turn + 1 < sizes.rounds:
+            again = spark.broadcast(of)
 
+            def classed():
+                known = again.value
 
-def _members(vocabulary: DataFrame, classes: Classes, size: int) -> np.ndarray:
-    """Distinct words of each class."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast(classes)
+                def pairs(at):
+                    klass = np.where(at >= 0, known[np.maximum(at, 0)], -1).astype(np.int64)
+                    both = (klass[:-1] >= 0) & (klass[1:] >= 0)
+                    return klass[:-1][both], klass[1:][both]
+                return pairs
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(size, np.int64)
-        for batch in filled(batches):
-            n += np.bincount([shared.value(w) for w in arrays(batch, "word")], minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(n)], names=["class", "n"])
-
-    at, n = _columns(vocabulary.select("word").mapInArrow(count, "class bigint, n bigint").groupBy("class").agg(F.sum("n").alias("n")))
-    members = np.zeros(size + 1, np.int64)
-    members[at] = n
-    members[size] = 1
-    return members
+            moves = _matrix(_summed(numbers, "numbers", classed), classes)
+    return of, None if best is None else best.filter("number < 0")
 
 
 def score_texts(docs: DataFrame, held_out: Column, sizes: Sizes = Sizes(), smoothing: float = 0.1,
@@ -277,7 +324,9 @@ def score_texts(docs: DataFrame, held_out: Column, sizes: Sizes = Sizes(), smoot
     (seen in training), train_tokens, base_score (unigrams), score (classes) and
     perplexity. A null text counts as empty: the end alone. A null id is kept, repeated
     rows count and are scored each, other columns are ignored, an empty table
-    gives no rows; without training texts every word is unknown.
+    gives no rows; without training texts every word is unknown. A word never
+    seen in training, or never beside a classed word, has the class that most
+    training words of its ending have.
     """
     key = docs.schema[id_col].dataType.simpleString()
     spark = docs.sparkSession.sparkContext
@@ -288,53 +337,109 @@ def score_texts(docs: DataFrame, held_out: Column, sizes: Sizes = Sizes(), smoot
     ends = texts.count()
     total, distinct = (seen["n"] or 0) + ends, seen["v"] + (ends > 0)
     counts = frequent_words(vocabulary, sizes.frequent)
-    classes = cluster(texts, list(counts), sizes)
-    end = sizes.classes
-    moves = _transitions(texts, classes, end)
-    members = _members(vocabulary, classes, end)
+    frequent, classes = len(counts), sizes.number(seen["v"])
+    ranks = spark.broadcast({w: k for k, w in enumerate(counts)})
+    numbers = as_numbers(all_texts, ranks)
+    of, others = cluster(numbers.filter(~F.col("held_out")), list(counts), sizes, classes)
+    rare = numbered_words(vocabulary, ranks)
+    if others is not None:
+        rare = rare.join(others, "number", "left")
+    else:
+        rare = rare.withColumn("class", F.lit(None).cast("int"))
+    rare = stored(rare)
+
+    # a word without a class of its own takes the class that most words of its ending have, of all words if there are none
+    by_ending = np.zeros((ENDINGS, classes), np.int64)
+    tail = (-(F.col("number") + 1)).bitwiseAND(F.lit(ENDINGS - 1)).alias("ending")
+    for r in rare.filter("class is not null").groupBy(tail, "class").count().collect():  # at most ENDINGS * classes rows
+        by_ending[r["ending"], r["class"]] = r["count"]
+    for w, c in zip(counts, of):
+        if c >= 0:
+            by_ending[ending(w), c] += 1
+    default = np.where(by_ending.any(axis=1), by_ending.argmax(axis=1), by_ending.sum(axis=0).argmax()).astype(np.uint8)
+
+    # distinct words of each class
+    of = np.where(of < 0, default[[ending(w) for w in counts] or [0]], of).astype(np.uint8)
+    members = np.bincount(of[:frequent], minlength=classes + 1)
+    for r in rare.filter("class is not null").groupBy("class").count().collect():
+        members[r["class"]] += r["count"]
+    for r in rare.filter("class is null").groupBy(tail).count().collect():
+        members[default[r["ending"]]] += r["count"]
+    members[classes] = 1
+    logs = np.log10(np.fromiter(counts.values(), np.float64, frequent) + smoothing) if frequent else np.zeros(1)
+    shared = spark.broadcast((of, logs, default))
+
+    # the words of each text that are not broadcast meet their counts and classes
+    def rare_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filled(batches):
+            found = [np.unique(x[x < 0]) for x in (np.frombuffer(b, np.int64) for b in arrays(batch, "numbers"))]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.concatenate(found))], names=["uid", "number"])
+
+    asked = numbers.select("uid", "numbers").mapInArrow(rare_of_text, "uid bigint, number bigint")
+    met = asked.join(rare, "number").groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("number", "c", "class"))).alias("met"))
+
+    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, log, default = shared.value
+        for batch in filled(batches):
+            rows = []
+            for data, found in zip(arrays(batch, "numbers"), arrays(batch, "met")):
+                at = np.frombuffer(data, np.int64)
+                common = at >= 0
+                klass = default[ending_of(at)]
+                klass[common] = known[at[common]]
+                c = np.zeros(len(at))
+                if found:
+                    table = np.array([(x["number"], x["c"], -1 if x["class"] is None else x["class"]) for x in found], np.int64)
+                    place = np.minimum(np.searchsorted(table[:, 0], at), len(table) - 1)
+                    hit = table[place, 0] == at
+                    c[hit] = table[place[hit], 1]
+                    hit &= table[place, 2] >= 0
+                    klass[hit] = table[place[hit], 2]
+                n_known = int(common.sum() + (c > 0).sum())
+                score = float(log[at[common]].sum() + np.log10(c[~common] + smoothing).sum())
+                rows.append((len(at) + 1, n_known, score, klass.tobytes()))
+            n, k, s, b = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.float64()), pa.array(b, pa.binary())],
+                names=["id", "held_out", "n_tokens", "n_words", "logs", "classes"])
+
+    beside = numbers.join(met, "uid", "left").select("id", "held_out", "numbers", "met")
+    classed = stored(beside.mapInArrow(
+        classify, f"id {key}, held_out boolean, n_tokens bigint, n_words bigint, logs double, classes binary"))
+
+    def framed(at: np.ndarray) -> np.ndarray:
+        """Classes of a text between two ends; the class of the end also stands before a text."""
+        return np.concatenate([[classes], at, [classes]]).astype(np.int64)
+
+    def transitions():
+        def pairs(at):
+            at = framed(at)
+            return at[:-1], at[1:]
+        return pairs
+
+    moves = _matrix(_summed(classed.filter(~F.col("held_out")), "classes", transitions, np.uint8), classes + 1)
     of_class = moves.sum(axis=0)
-    prior = (of_class + 1) / (of_class.sum() + end + 1)
+    prior = (of_class + 1) / (of_class.sum() + classes + 1)
     step = np.log10((moves + 5 * prior) / (moves.sum(axis=1, keepdims=True) + 5)) - np.log10(of_class + smoothing * (members + 1))
-    shared = spark.broadcast((classes, counts, step))
+    stepped = spark.broadcast(step)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        known_class, known, step = shared.value
-        of = Cached(known_class)
-        log = Cached(lambda w: np.log10(known[w] + smoothing) if w in known else 0.0)
-        uid = TaskContext.get().partitionId() << 40
+        table = stepped.value
         for batch in filled(batches):
-            rows = []
-            for doc, out, text in zip(arrays(batch, "id"), arrays(batch, "held_out"), arrays(batch, "text")):
-                found = words(text)
-                at = np.full(len(found) + 2, end, np.int64)
-                at[1:-1] = np.fromiter(map(of.__getitem__, found), np.int64, len(found))
-                rare = Counter(w for w in found if w not in known)
-                rows.append((uid, doc, out, len(found) + 1, len(found) - rare.total(), sum(map(log.__getitem__, found)),
-                             float(step[at[:-1], at[1:]].sum()), list(rare), list(rare.values())))
-                uid += 1
-            c = list(zip(*rows))
+            sums = []
+            for data in arrays(batch, "classes"):
+                at = framed(np.frombuffer(data, np.uint8))
+                sums.append(float(table[at[:-1], at[1:]].sum()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[0], pa.int64()), batch.column(0), pa.array(c[2], pa.bool_()), pa.array(c[3], pa.int64()), pa.array(c[4], pa.int64()),
-                 pa.array(c[5], pa.float64()), pa.array(c[6], pa.float64()), pa.array(c[7], pa.list_(pa.binary())), pa.array(c[8], pa.list_(pa.int64()))],
-                names=["uid", "id", "held_out", "n_tokens", "n_frequent", "logs", "steps", "rare", "times"])
-
-    measured = stored(all_texts.mapInArrow(
-        measure, f"uid bigint, id {key}, held_out boolean, n_tokens bigint, n_frequent bigint, logs double, steps double, "
-                 "rare array<binary>, times array<bigint>"))
-    rare = measured.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("uid", "x.rare", "x.times")
-    c = F.coalesce("c", F.lit(0))
-    # without the words that were broadcast, no word is frequent on either side
-    found = rare.join(vocabulary.withColumnRenamed("word", "rare"), "rare", "left").groupBy("uid").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more"), F.sum(F.col("times") * F.log10(c + F.lit(smoothing))).alias("more_logs"))
-    logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + F.lit(float(np.log10(ends + smoothing)))
+                [batch.column(k) for k in range(5)] + [pa.array(sums, pa.float64())], names=[*batch.schema.names[:5], "steps"])
+
+    measured = classed.mapInArrow(measure, f"id {key}, held_out boolean, n_tokens bigint, n_words bigint, logs double, steps double")
+    logs_of = F.col("logs") + F.lit(float(np.log10(ends + smoothing)))
     norm = float(np.log10(total + smoothing * (distinct + 1)))
-    return measured.drop("rare", "times").join(found, "uid", "left").select(
-        F.col("id").alias(id_col), "held_out", "n_tokens",
-        (F.col("n_frequent") + F.coalesce("more", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
-        (logs + F.col("steps")).alias("score"),
-        F.pow(F.lit(10.0), -(logs + F.col("steps")) / F.col("n_tokens")).alias("perplexity"),
+    return measured.select(
+        F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_words") + F.lit(int(ends > 0))).alias("n_known"),
+        F.lit(total).cast("bigint").alias("train_tokens"), (logs_of - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
+        (logs_of + F.col("steps")).alias("score"), F.pow(F.lit(10.0), -(logs_of + F.col("steps")) / F.col("n_tokens")).alias("perplexity"),
     )

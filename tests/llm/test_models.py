@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -37,7 +38,7 @@ def _scored(frame):
 
 def test_base_scores_equal_brute_force(docs_of, odd_rows, documents):
     rows = odd_rows + [(k + 100, t) for k, t in documents]
-    small = class_lm.Sizes(classes=8, first=40, ranked=100, endings=64, frequent=300)
+    small = class_lm.Sizes(classes=8, first=40, frequent=300)
     got = class_lm.score_texts(docs_of(rows), remainder(F.col("doc_id"), 10) == 0, small)
     assert _scored(got) == _base(rows)
     assert class_lm.score_texts(docs_of([]), F.lit(False)).collect() == []
@@ -55,6 +56,95 @@ def test_classes_beat_unigrams_on_held_out_texts(spark, sf_dir, documents):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def _brute_class_scores(rows, sizes, smoothing=0.1):
+    """Scores of the class model, text by text and word by word."""
+    texts = [(not _fold(k, 10), (t or "").lower().encode().split()) for k, t in rows]
+    train = [t for held, t in texts if not held]
+    counts = Counter(w for t in train for w in t)
+    level = {w: math.floor(math.log2(c) * 16) for w, c in counts.items()}
+    per_level = Counter(level.values())
+    frequent, taken = [], 0
+    for at in sorted(per_level, reverse=True):
+        taken += per_level[at]
+        if taken > sizes.frequent:
+            break
+        frequent += [w for w in counts if level[w] == at]
+    frequent.sort(key=lambda w: (-counts[w], w))
+    classes, first = sizes.number(len(counts)), min(sizes.first, len(frequent))
+    index = {w: k for k, w in enumerate(frequent)}
+    pairs = Counter(p for t in train for p in zip(t, t[1:]))
+    seed = np.zeros((first, first))
+    for (a, b), n in pairs.items():
+        if index.get(a, first) < first and index.get(b, first) < first:
+            seed[index[a], index[b]] = n
+    start = class_lm.exchange(seed, classes)
+    of = {w: int(start[k]) for k, w in enumerate(frequent[:first])}
+    moves = np.zeros((classes, classes))
+    for a in range(first):
+        for b in range(first):
+            moves[start[a], start[b]] += seed[a, b]
+    best = {}
+    for turn in range(sizes.rounds):
+        weights = class_lm._likelihoods(moves)
+        known = np.array([of.get(w, -1) for w in frequent], np.int16)
+        leaning = class_lm._leanings(known, np.array([class_lm.ending(w) for w in frequent]), classes)
+        gain = {}
+        for (a, b), n in pairs.items():
+            if a in of:
+                gain[b] = gain.get(b, 0) + n * weights[of[a]]
+            if b in of:
+                gain[a] = gain.get(a, 0) + n * weights[classes + of[b]]
+        best = {w: int(np.argmax(g + class_lm.LEANING * leaning[class_lm.ending(w)])) for w, g in gain.items()}
+        now = {w: of[w] if index[w] < first else best[w] for w in frequent if index[w] < first or w in best}
+        moved = sum(now.get(w) != of.get(w) for w in frequent)
+        of = now
+        if turn and moved <= sizes.moved * len(frequent):
+            break
+        moves = np.zeros((classes, classes))
+        for (a, b), n in pairs.items():
+            if a in of and b in of:
+                moves[of[a], of[b]] += n
+    klass = {w: of.get(w) if w in index else best.get(w) for w in counts}
+    by_ending = np.zeros((class_lm.ENDINGS, classes), int)
+    for w, c in klass.items():
+        if c is not None:
+            by_ending[class_lm.ending(w), c] += 1
+
+    def class_of(w):
+        if klass.get(w) is not None:
+            return klass[w]
+        row = by_ending[class_lm.ending(w)]
+        return int(row.argmax() if row.any() else by_ending.sum(axis=0).argmax())
+
+    members = Counter(class_of(w) for w in counts) + Counter([classes])
+    steps, n_class = Counter(), Counter()
+    for t in train:
+        at = [classes, *map(class_of, t), classes]
+        steps.update(zip(at, at[1:]))
+        n_class.update(at[1:])
+    before = Counter()
+    for (a, _), n in steps.items():
+        before[a] += n
+    total = n_class.total()
+    found = []
+    for _, t in texts:
+        at, score = [classes, *map(class_of, t), classes], 0.0
+        for a, b, w in zip(at, at[1:], [*t, None]):
+            prior = (n_class[b] + 1) / (total + classes + 1)
+            score += math.log10((steps[a, b] + 5 * prior) / (before[a] + 5))
+            c = len(train) if w is None else counts[w]
+            score += math.log10((c + smoothing) / (n_class[b] + smoothing * (members[b] + 1)))
+        found.append(score)
+    return found
+
+
+def test_class_scores_equal_brute_force(docs_of, documents):
+    rows = [(k, t[:3000].lower()) for k, t in documents if t.isascii()][:80]
+    for sizes in (class_lm.Sizes(classes=6, first=30, frequent=120), class_lm.Sizes(first=50, rounds=2)):
+        found = {r["doc_id"]: r["score"] for r in class_lm.score_texts(docs_of(rows), remainder(F.col("doc_id"), 10) == 0, sizes).collect()}
+        assert [found[k] for k, _ in rows] == pytest.approx(_brute_class_scores(rows, sizes), abs=1e-6)
+
+
 def test_exchange_finds_classes_that_alternate():
     counts = np.zeros((6, 6))
     counts[:3, 3:] = 10
