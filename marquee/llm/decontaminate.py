@@ -46,16 +46,36 @@ def item_sketches(items: DataFrame, least: int, size: int) -> DataFrame:
             .select("item", F.explode(F.slice("h", 1, F.col("k"))).alias("hash"), (F.col("k") - F.col("missing")).alias("needed")))
 
 
+def _short_matches(docs: DataFrame, items: DataFrame, size: int, least: int, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame | None:
+    """(doc, item, n_item, n_shared) for the items of fewer than ``size`` words; None if there are none.
+
+    Such an item is one shingle of its own length, matched with the document's
+    windows of that length.
+    """
+    held = text_words(F.col(item_text))
+    short = stored(
+        items.filter(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item"), F.size(held).alias("m"), F.array_join(held, " ").alias("s"))
+        .filter(f"m between 1 and {size - 1}").distinct())
+    lengths = sorted(r["m"] for r in short.select("m").distinct().collect())  # fewer than ``size``
+    if not lengths:
+        return None
+    words = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), text_words(F.col(text_col)).alias("words"))
+    seen = words.select("doc", F.explode(F.array_distinct(F.concat(*(F.coalesce(spelled(F.col("words"), m), F.array()) for m in lengths)))).alias("s"))
+    found = seen.distinct().join(short, "s").groupBy("doc", "item").agg(F.count("*").cast("int").alias("n_shared"))
+    n = short.groupBy("item").agg(F.count("*").cast("int").alias("n_item"))
+    return found.join(n, "item").filter(F.col("n_shared") * 100 >= F.col("n_item") * least).select("doc", "item", "n_item", "n_shared")
+
+
 def find_items(docs: DataFrame, items: DataFrame, size: int = 5, containment: float = 0.8, id_col: str = "doc_id",
                text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Pairs (``id_col``, ``item_col``, n_item, n_shared) where a document holds the share ``containment`` of an item's shingles.
 
     Words are runs of letters and digits in lower case. An item with fewer than
-    ``size`` words has no shingle and is found nowhere; neither are null or empty
-    texts. Rows without an id are not reported. Repeated documents or items give
+    ``size`` words is one shingle of its own length. Null and empty texts are
+    found nowhere. Rows without an id are not reported. Repeated documents or items give
     one row per pair of ids, with the largest n_shared; items that repeat an id with another text
-    count with their union of shingles. Other columns are ignored; an empty table
-    on either side gives no rows.
+    count with their union of shingles, short ones apart from the others. Other
+    columns are ignored; an empty table on either side gives no rows.
     """
     least = round(containment * 100)
     known = stored(
@@ -73,6 +93,9 @@ def find_items(docs: DataFrame, items: DataFrame, size: int = 5, containment: fl
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(chosen, "doc")
     exact = texts.select("doc", spelled(text_words(F.col("text")), size).alias("held"))
     shared = F.size(F.array_intersect("shingles", "held"))
-    return (exact.join(candidates, "doc").join(known, "item").select("doc", "item", F.col("n").alias("n_item"), shared.alias("n_shared"))
-            .filter(F.col("n_shared") * 100 >= F.col("n_item") * least)
-            .groupBy(F.col("doc").alias(id_col), F.col("item").alias(item_col)).agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared")))
+    matches = (exact.join(candidates, "doc").join(known, "item").select("doc", "item", F.col("n").alias("n_item"), shared.alias("n_shared"))
+               .filter(F.col("n_shared") * 100 >= F.col("n_item") * least))
+    short = _short_matches(docs, items, size, least, id_col, text_col, item_col, item_text)
+    if short is not None:
+        matches = matches.unionByName(short)
+    return (matches.groupBy(F.col("doc").alias(id_col), F.col("item").alias(item_col)).agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared")))

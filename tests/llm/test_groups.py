@@ -217,6 +217,19 @@ def _brute_leaks(docs, items, size=5, least=80):
             n = len(s & held)
             if k is not None and s and 100 * n >= least * len(s):
                 found[k, i] = (len(s), max(n, found.get((k, i), (0, 0))[1]))
+    # an item of fewer words is one shingle of its own length
+    short = {}
+    for i, t in items:
+        if i is not None and 0 < len(words(t)) < size:
+            short.setdefault(i, set()).add(tuple(words(t)))
+    for k, t in docs:
+        held = words(t)
+        runs = {tuple(held[at:at + m]) for m in range(1, size) for at in range(len(held) - m + 1)}
+        for i, s in short.items():
+            n = len(s & runs)
+            if k is not None and 100 * n >= least * len(s):
+                old = found.get((k, i), (0, 0))
+                found[k, i] = (max(len(s), old[0]), max(n, old[1]))
     return sorted((*k, *v) for k, v in found.items())
 
 
@@ -248,3 +261,12 @@ def test_decontamination_equals_brute_force(spark, docs_of, odd_rows):
 def test_decontamination_query(spark, sf_dir, documents):
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     assert _leaks(QUERIES["op1_decontamination"](spark, sf_dir)) == _brute_leaks(documents, items)
+
+
+def test_short_items_are_found_as_a_whole(docs_of, spark):
+    rng = random.Random(4)
+    docs = [(k, " ".join(rng.choice(["a", "b", "c", "D!", "e", "中文"]) for _ in range(rng.choice([0, 1, 3, 12])))) for k in range(120)] + [(None, "a b"), (500, None)]
+    items = [(1, "a"), (2, "A, b"), (3, "中文"), (4, "b c d e"), (5, "e e e"), (6, ""), (7, None), (8, "a b c d e"), (9, "c a"), (9, "zz"), (None, "a")]
+    wanted = _brute_leaks(docs, items)
+    found = decontaminate.find_items(docs_of(docs), spark.createDataFrame(items, "item_id int, text string"))
+    assert _leaks(found) == wanted and {i for _, i, *_ in wanted} >= {1, 2, 3}
