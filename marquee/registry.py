@@ -820,6 +820,32 @@ def settle_stream(t):
     )
 
 
+@query
+def settle_stream_late(t):
+    """Late records without tolerance: every heartbeat plays three keys over four batches in a row.
+
+    Key a comes again 4 s later, but after key b at 15 s has closed it; key d
+    comes at 0, 15 and 8 s, of which the last bridges only sessions still open.
+    A last batch, far in the future, closes everything.
+    """
+    root, files_each = f"{shared_dir(t.spark)}/late-{uuid.uuid4().hex}", 4
+    moment = F.unix_seconds(F.col("session_ended_at").cast("timestamp")) % 8
+    beats = t.heartbeats.withColumn("item_id", F.concat(F.lit(":"), F.col("seq").cast("string")))
+    for batch, records in enumerate([[("a", 0), ("d", 0)], [("b", 15), ("d", 15)], [("a", 4), ("d", 8)], [("z", 1000)]]):
+        steps = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(at).alias("at")) for kind, at in records])).alias("step")
+        beats.select("*", steps).withColumns({
+            "item_id": F.concat("step.kind", "item_id"), "session_ended_at": F.timestamp_seconds(moment + F.col("step.at")),
+            "watched_seconds": F.col("step.at"),
+        }).drop("step").repartition(files_each).write.mode("append").parquet(f"{root}/in")
+    schema = t.spark.read.parquet(f"{root}/in").schema
+    with settle.no_tolerance(t.spark):
+        source = files.read_stream(t.spark, f"{root}/in", schema, max_files_per_trigger=files_each)
+        settled = settle.settle_stream(source).writeStream.outputMode("append").trigger(availableNow=True)
+        settled.option("checkpointLocation", f"{root}/checkpoint").start(f"{root}/settled", format="parquet").awaitTermination()
+    return t.spark.read.schema(schema).parquet(f"{root}/settled").select(
+        "user_id", "item_id", "watched_seconds", F.unix_seconds("session_ended_at").alias("ended"))
+
+
 @query
 def open_sessions(t):
     return sessions.open_sessions(t.heartbeats, t.heartbeat_as_of, gap_seconds=GAP_SECONDS)

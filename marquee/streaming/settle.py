@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators.sessions import SESSION_GAP_SECONDS
@@ -33,3 +34,23 @@ def settle_stream(
         .agg(F.max(F.struct(ts, seq, *rest)).alias("_last"))
         .select(*keys, *[f"_last.{name}" for name in rest], f"_last.{ts}")
     )
+
+
+ALLOW_MULTIPLE = "spark.sql.streaming.statefulOperator.allowMultiple"
+
+
+@contextmanager
+def no_tolerance(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside drop a record as late by the watermark of all batches before its own.
+
+    By default Spark goes by the watermark one batch earlier, so that a record
+    that follows the batch that closed its session is still merged. A stream
+    keeps the setting it was first started with in its checkpoint. It allows one
+    stateful operator per stream, which settling is.
+    """
+    before = spark.conf.get(ALLOW_MULTIPLE)
+    spark.conf.set(ALLOW_MULTIPLE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(ALLOW_MULTIPLE, before)

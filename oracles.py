@@ -500,6 +500,14 @@ _CLOSED = "WHERE session_ended_at + INTERVAL 12 HOUR <= (SELECT max(ts) FROM eve
 check("settle_sessions", f", {_SESSIONS} SELECT * FROM settled")
 check("settle_sessions_closed", f", {_SESSIONS} SELECT * FROM settled {_CLOSED}")
 # The watermark is the newest event time, cut to milliseconds.
+_LATE = "(SELECT user_id, seq, CAST(epoch(date_trunc('second', session_ended_at)) AS BIGINT) % 8 AS t FROM heartbeats)"
+check("settle_stream_late", f"""
+, newest AS (SELECT max(t) + 15 AS closed FROM {_LATE})
+SELECT user_id, kind || ':' || seq AS item_id, CAST(step AS INTEGER) AS watched_seconds, t + step AS ended
+FROM {_LATE}, newest, (VALUES ('a', 0), ('b', 15), ('d', 0), ('d', 15)) k(kind, step)
+-- the third record of key d bridges its sessions unless it is late itself
+WHERE kind <> 'd' OR step = 15 OR t + 18 <= closed
+""")
 check("settle_stream", f", {_SESSIONS} SELECT * FROM settled {_CLOSED}")
 check("open_sessions", f", {_SESSIONS} SELECT * FROM open_now")
 check("free_users", f""", {_SESSIONS}
