@@ -25,12 +25,8 @@ USER_SORTS = [
 ]
 
 
-def _tally(df: DataFrame, section: str, label: Column | None = None) -> DataFrame:
-    """``(section, label, n)`` rows: one per label, or one in all."""
-    if label is None:
-        return df.agg(F.count("*").alias("n")).select(
-            F.lit(section).alias("section"), F.lit(None).cast("string").alias("label"), "n"
-        )
+def _tally(df: DataFrame, section: str, label: Column) -> DataFrame:
+    """``(section, label, n)`` rows, one per label."""
     counted = df.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
     return counted.select(F.lit(section).alias("section"), "label", "n")
 
@@ -42,16 +38,31 @@ def stack(parts: Sequence[DataFrame]) -> DataFrame:
     return stacked
 
 
+def _summary(df: DataFrame, name: str, active: Column, by: str, label: Column) -> DataFrame:
+    """``(section, label, n)``: all rows, the active ones, and those of each label, by one scan.
+
+    The labels are a vocabulary (types, genders), so their counts fit in one row.
+    """
+    counted = df.groupBy(label.alias("label")).agg(F.count("*").alias("n"), F.count_if(active).alias("active"))
+    whole = counted.agg(
+        F.collect_list(F.struct("label", "n")).alias("labels"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("n", "active")])
+
+    def row(section: str, label: Column, n: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), label.cast("string").alias("label"), n.alias("n"))
+
+    rows = F.concat(
+        F.array(row(name, F.lit(None), F.col("n")), row(f"active {name}", F.lit(None), F.col("active"))),
+        F.transform("labels", lambda x: row(f"{name} by {by}", x["label"], x["n"])))
+    return whole.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def catalog_summary(items: DataFrame, users: DataFrame) -> DataFrame:
     """Totals, active totals, items by type and users by gender."""
     gender = F.coalesce(F.nullif("gender", F.lit("")), F.lit("unspecified"))
     return stack([
-        _tally(items, "items"),
-        _tally(items.filter(F.col("catalog_status") == "active"), "active items"),
-        _tally(items, "items by type", F.col("type")),
-        _tally(users, "users"),
-        _tally(users.filter(F.col("account_status") == "active"), "active users"),
-        _tally(users, "users by gender", gender),
+        _summary(items, "items", F.col("catalog_status") == "active", "type", F.col("type")),
+        _summary(users, "users", F.col("account_status") == "active", "gender", gender),
     ])
 
 
