@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import arrays, components, filled, mixed, partitions, shingles, stored
+from marquee.llm.shared import arrays, components, discard, filled, forget_shuffles, mixed, partitions, shingles, stored
 
 # Members and bytes of sketches of a segment that are compared at once.
 BLOCK, BLOCK_BYTES = 1024, 2 << 20
@@ -350,15 +350,23 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_
     row. Other columns are ignored, an empty table gives no rows.
     """
     num, den = link_rule(similarity)
-    signed = signatures(docs, words, num, den, id_col, text_col)
-    entries = signed.select(F.explode("keys").alias("key"), "node")
+    spark = docs.sparkSession
+    keyed = signatures(docs, words, num, den, id_col, text_col)
+    entries = keyed.select(F.explode("keys").alias("key"), "node")
     members = shared_keys(entries)
-    sketches = signed.filter("keys is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # the keys take most of the disk and are needed no more
+    sketches = stored(keyed.filter("keys is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    signed = stored(keyed.select("id", "n", "node"))
+    discard(keyed)
+    forget_shuffles(spark)
     is_link = F.col("inter") * den >= F.col("total") * num
 
     def check(pairs: DataFrame) -> DataFrame:
-        texts = node_texts(docs, signed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words, id_col, text_col)
-        return verified(pairs, stored(texts), words)
+        texts = stored(node_texts(docs, signed, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words, id_col, text_col))
+        found = verified(pairs, texts, words)
+        discard(texts)
+        forget_shuffles(spark)
+        return found
 
     checked = check(_allowed(members.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), sketches, num, den))
     labels = components(checked.filter(is_link).select("a", "b"))

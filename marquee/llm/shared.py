@@ -46,6 +46,23 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let the executors delete the shuffle files of finished steps.
+
+    Spark does so when the driver collects the plans that made them, which a
+    small driver may not do for half an hour. What is still needed is stored.
+    """
+    spark._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
