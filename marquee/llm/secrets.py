@@ -42,7 +42,7 @@ IDENTIFIERS = (
 AROUND, NEAR = 512, 48
 # What may stand between two parts of one key: a dot, or a line's end with quotes and the like.
 _GAP = re.compile(r"""\.|[ \t"',]*(?:\r?\n|\\)[\s"',\\]*""")
-_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----(.*?)-----END ", re.S)
+_PEM, _PEM_END = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----"), "-----END "
 _PEM_LINE = re.compile(r"\\[nr]|[A-Za-z0-9+/=]+")
 _PEM_HEADER = re.compile(r"^[^\n]*:[^\n]*$", re.M)
 # Alphabets of fewer than 64 letters and the bits that a random letter of them carries.
@@ -85,14 +85,39 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans, key=lambda x: (x[0], x[2]))
 
 
+class Overlaps:
+    """The spans that overlap others, which are asked for in ascending order, none overlapping another; each span is looked at once."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.spans, self.at, self.open = sorted(spans), 0, []
+
+    def __call__(self, start: int, end: int) -> list[tuple[int, int, int]]:
+        self.open = [x for x in self.open if x[1] > start]
+        while self.at < len(self.spans) and self.spans[self.at][0] < end:
+            if self.spans[self.at][1] > start:
+                self.open.append(self.spans[self.at])
+            self.at += 1
+        return self.open
+
+
+def key_bodies(text: str) -> Iterator[tuple[int, int]]:
+    """What lies between BEGIN and the next END; a key never closed ends the search, as no later one is closed either."""
+    at = 0
+    while begin := _PEM.search(text, at):
+        end = text.find(_PEM_END, begin.end())
+        if end < 0:
+            return
+        yield begin.end(), end
+        at = end + len(_PEM_END)
+
+
 def key_lines(text: str, novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
     """The lines of private keys between BEGIN and END, the short last one too; a key is measured as a whole."""
     spans = []
     if "PRIVATE KEY" not in text:
         return spans
-    for m in _PEM.finditer(text):
-        start, end = m.span(1)
-        body = _PEM_HEADER.sub(lambda x: " " * len(x[0]), m[1])
+    for start, end in key_bodies(text):
+        body = _PEM_HEADER.sub(lambda x: " " * len(x[0]), text[start:end])
         lines = [x for x in _PEM_LINE.finditer(body) if x[0][0] != "\\"]
         whole = "".join(x[0] for x in lines)
         if len(whole) >= 20 and novelty(whole, text[max(0, start - AROUND):start], text[end:end + AROUND]) >= least_share(whole, least):
@@ -102,17 +127,18 @@ def key_lines(text: str, novelty: Novelty, least: float) -> list[tuple[int, int,
 
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, least: float) -> list[tuple[int, int, int]]:
     """Candidates near a sensitive word, or next to a part of the same key, that overlap no base span and hardly compress."""
-    lines = [x for x in key_lines(text, novelty, least) if not any(a < x[1] and x[0] < b for a, b, _ in base)]
+    of_base = Overlaps(base)
+    lines = [x for x in key_lines(text, novelty, least) if not of_base(x[0], x[1])]
     spans, last, said = list(lines), 0, False  # end of the part before, and whether a sensitive word holds for it
-    taken = base + lines
+    taken = Overlaps(base + lines)
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
         goes_on = said and start - last <= NEAR and _GAP.fullmatch(text, last, start)
         said = bool(goes_on or _SENSITIVE.search(text[max(0, start - NEAR):start]) or _SENSITIVE.search(text[end:end + NEAR]))
         last = end
-        over = [(a, b) for a, b, _ in taken if a < end and start < b]
+        over = taken(start, end)
         if over:
-            said, last = True, max(end, *(b for _, b in over))
+            said, last = True, max(end, *(x[1] for x in over))
         elif said and novelty(m[0], text[max(0, start - AROUND):start], text[end:end + AROUND]) >= least_share(m[0], least):
             spans.append((start, end, 3))
     return spans

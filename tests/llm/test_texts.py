@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -194,3 +195,26 @@ def test_masked_texts(docs_of, odd_rows):
     assert len(texts) == len(rows) and (20, "a [secret] [secret]\" z") in texts
     assert set(rows[:-2] + rows[-1:]) <= set(texts)
     assert {r["doc_id"]: r["n_chars"] for r in got.collect()}[20] == 22
+
+
+def test_long_texts_take_time_in_proportion():
+    """A megabyte of keys never closed, and of hex strings beside sensitive words: quadratic scans would take minutes."""
+    rng = random.Random(2)
+    markers = "-----BEGIN RSA PRIVATE KEY-----\n" * 30_000
+    lines = "".join(f"secret {rng.getrandbits(256):064x}\n" for _ in range(15_000))
+    novelty = secrets.Novelty()
+    start = time.process_time()
+    assert secrets.all_spans(markers, novelty, 0.75) == ([], [])
+    base, spans = secrets.all_spans(lines, novelty, 0.75)
+    assert len(base) == len(spans) == 15_000
+    assert time.process_time() - start < 10
+
+
+def test_overlaps_equal_a_full_comparison():
+    rng = random.Random(3)
+    for _ in range(300):
+        spans = [(a, a + rng.randrange(1, 30), 0) for a in (rng.randrange(200) for _ in range(rng.randrange(12)))]
+        edges = sorted(rng.sample(range(260), 12))
+        of = secrets.Overlaps(spans)
+        for start, end in zip(edges[::2], edges[1::2]):
+            assert sorted(of(start, end)) == sorted(x for x in spans if x[0] < end and start < x[1])
