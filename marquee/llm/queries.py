@@ -49,7 +49,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every document, as the file source/language/doc_id."""
     tune(spark)
-    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
+    parts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("source", "lang", "doc_id")]
+    path = F.concat_ws("/", *parts)  # a document without an id is a nameless file of its directory
     files = read_table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
     return licenses.scan_licenses(files, keep=("doc_id",))
 
