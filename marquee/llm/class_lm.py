@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from marquee.llm.shared import arrays, filled, stored, words
 
 FLUSH = 300_000
+# Words whose neighbours are weighed at once.
+WORD_BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -232,6 +235,14 @@ def _likelihoods(moves: np.ndarray) -> np.ndarray:
     return np.concatenate([np.log(moves / moves.sum(axis=0)), np.log(moves / moves.sum(axis=1, keepdims=True)).T])
 
 
+def _entries(batch: pa.RecordBatch, name: str, *fields: str) -> tuple[np.ndarray, ...]:
+    """Starts (and the end) of the lists of structs in a column, and the structs' fields one after the other; null numbers are -1."""
+    lists = batch.column(batch.schema.get_field_index(name))
+    sizes = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = lists.flatten()
+    return (np.concatenate([[0], np.cumsum(sizes)]), *(flat.field(f).fill_null(-1).to_numpy(zero_copy_only=False) for f in fields))
+
+
 def _leanings(of: np.ndarray, endings: np.ndarray, classes: int) -> np.ndarray:
     """(ENDINGS, classes): log share of the classes among the frequent words with an ending, smoothed by all of them."""
     known = of >= 0
@@ -280,13 +291,14 @@ def cluster(numbers: DataFrame, frequent: list[bytes], sizes: Sizes, classes: in
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, weights, leaning, tails = shared.value
             for batch in filled(batches):
+                number, (starts, y, n) = batch.column(0).to_numpy(), _entries(batch, "found", "y", "n")
+                tail = np.where(number >= 0, tails[np.maximum(number, 0) % len(tails)], ending_of(number))
                 found = []
-                numbers_ = batch.column(0).to_numpy()
-                for number, row in zip(numbers_, arrays(batch, "found")):
-                    at, n = np.array([x["y"] for x in row]), np.array([x["n"] for x in row])
-                    gain = n @ weights[at]
-                    found.append(int(np.argmax(gain + LEANING * leaning[tails[number] if number >= 0 else ending_of(number)])))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], names=["number", "class"])
+                for at in range(0, len(number), WORD_BLOCK):
+                    of_block = slice(starts[at], starts[min(at + WORD_BLOCK, len(number))])
+                    gain = np.add.reduceat(n[of_block, None] * weights[y[of_block]], starts[at:at + WORD_BLOCK][:len(number) - at] - starts[at])
+                    found.append(np.argmax(gain + LEANING * leaning[tail[at:at + WORD_BLOCK]], axis=1))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found).astype(np.int32))], names=["number", "class"])
 
         neighbours = _summed(numbers, "numbers", beside).groupBy("x").agg(
             F.sort_array(F.collect_list(F.struct("y", "n"))).alias("found"))  # at most 2 * classes entries
@@ -384,19 +396,20 @@ def score_texts(docs: DataFrame, held_out: Column, sizes: Sizes = Sizes(), smoot
         known, log, default = shared.value
         for batch in filled(batches):
             rows = []
-            for data, found in zip(arrays(batch, "numbers"), arrays(batch, "met")):
+            starts, *fields = _entries(batch, "met", "number", "c", "class")
+            for k, data in enumerate(arrays(batch, "numbers")):
                 at = np.frombuffer(data, np.int64)
                 common = at >= 0
                 klass = default[ending_of(at)]
                 klass[common] = known[at[common]]
                 c = np.zeros(len(at))
-                if found:
-                    table = np.array([(x["number"], x["c"], -1 if x["class"] is None else x["class"]) for x in found], np.int64)
-                    place = np.minimum(np.searchsorted(table[:, 0], at), len(table) - 1)
-                    hit = table[place, 0] == at
-                    c[hit] = table[place[hit], 1]
-                    hit &= table[place, 2] >= 0
-                    klass[hit] = table[place[hit], 2]
+                met_number, met_c, met_class = (f[starts[k]:starts[k + 1]] for f in fields)
+                if len(met_number):
+                    place = np.minimum(np.searchsorted(met_number, at), len(met_number) - 1)
+                    hit = met_number[place] == at
+                    c[hit] = met_c[place[hit]]
+                    hit &= met_class[place] >= 0
+                    klass[hit] = met_class[place[hit]]
                 n_known = int(common.sum() + (c > 0).sum())
                 score = float(log[at[common]].sum() + np.log10(c[~common] + smoothing).sum())
                 rows.append((len(at) + 1, n_known, score, klass.tobytes()))
