@@ -17,39 +17,45 @@ ORACLE_SQL = None
 ROW = "row_key"
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """``docs`` and a key of id and text, never null: rows with the same key are copies of one another."""
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of id and text, never null, and its name, which no column of ``docs`` has.
+
+    Rows with the same key are copies of one another.
+    """
+    name = ROW
+    while name in docs.columns:
+        name += "_"
     text = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("-"))
-    return docs.withColumn(ROW, F.concat(text, F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    return docs.withColumn(name, F.concat(text, F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))), name
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier does not reject."""
-    rows = with_row_key(docs)
+    rows, row = with_row_key(docs)
     # the labels go by document, the decision by row
-    scored = quality.score_quality(rows, read_table(spark, sf_dir, "labels"), row_col=ROW)
-    rejected = scored.filter("predicted = 0").select(ROW).distinct()
-    return rows.join(rejected, ROW, "left_anti").select(docs.columns)
+    scored = quality.score_quality(rows, read_table(spark, sf_dir, "labels"), row_col=row)
+    rejected = scored.filter("predicted = 0").select(row).distinct()
+    return rows.join(rejected, row, "left_anti").select(docs.columns)
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one row, that with the smallest id, known ones first; of rows that repeat id and text, one."""
-    rows = with_row_key(docs)
-    groups = stored(jaccard_join.jaccard_groups(rows, words=5, similarity=0.8, id_col=ROW))
-    text = F.substring_index(ROW, ":", -1)
-    place = F.struct((text == "-").alias("unknown"), F.when(text != "-", text).cast(docs.schema["doc_id"].dataType).alias("id"), ROW)
-    kept = stored(groups.groupBy("component_id").agg(F.min(place).alias("first"), F.count("*").alias("n")).select(F.col(f"first.{ROW}").alias(ROW), "n"))
+    rows, row = with_row_key(docs)
+    groups = stored(jaccard_join.jaccard_groups(rows, words=5, similarity=0.8, id_col=row))
+    text = F.substring_index(row, ":", -1)
+    place = F.struct((text == "-").alias("unknown"), F.when(text != "-", text).cast(docs.schema["doc_id"].dataType).alias("id"), row)
+    kept = stored(groups.groupBy("component_id").agg(F.min(place).alias("first"), F.count("*").alias("n")).select(F.col(f"first.{row}").alias(row), "n"))
     # copies of a kept row have its key; only those need a look at the other columns
-    repeated = stored(groups.join(kept.filter("n > 1").select(ROW), ROW, "left_semi").groupBy(ROW).count().filter("count > 1").select(ROW))
-    once = rows.join(kept.select(ROW).join(repeated, ROW, "left_anti"), ROW, "left_semi")
-    return once.unionByName(rows.join(repeated, ROW, "left_semi").dropDuplicates([ROW])).select(docs.columns)
+    repeated = stored(groups.join(kept.filter("n > 1").select(row), row, "left_semi").groupBy(row).count().filter("count > 1").select(row))
+    once = rows.join(kept.select(row).join(repeated, row, "left_anti"), row, "left_semi")
+    return once.unionByName(rows.join(repeated, row, "left_semi").dropDuplicates([row])).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no benchmark item."""
-    rows = with_row_key(docs)
-    leaks = decontaminate.find_items(rows, read_table(spark, sf_dir, "benchmark"), id_col=ROW).select(ROW).distinct()
-    return rows.join(leaks, ROW, "left_anti").select(docs.columns)
+    rows, row = with_row_key(docs)
+    leaks = decontaminate.find_items(rows, read_table(spark, sf_dir, "benchmark"), id_col=row).select(row).distinct()
+    return rows.join(leaks, row, "left_anti").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
