@@ -287,3 +287,12 @@ def test_pipeline(spark, sf_dir):
     masked = corpus_pipeline.mask_secrets(spark, docs, sf_dir)
     assert masked.schema == docs.schema and masked.count() == docs.count()
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_stages_keep_a_column_named_like_the_row_key_and_empty_tables(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(30).withColumn("row_key", F.lit("mine"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, sf_dir)
+        assert found.columns == docs.columns and {r["row_key"] for r in found.collect()} == {"mine"}, name
+        assert stage(spark, docs.limit(0), sf_dir).collect() == [], name
+    assert corpus_pipeline.pack_windows(spark, docs.limit(0), sf_dir).collect() == []
