@@ -129,14 +129,10 @@ def mirror_log(records: DataFrame, targets: Sequence[Target], checkpoint: str) -
     """A writer that keeps one state table per target current from one shared log."""
     def write(batch: DataFrame, number: int) -> None:
         writer = tables.stream_id(batch.sparkSession, checkpoint)
-        batch.persist()  # read once for all targets
-        try:
-            for target in targets:
-                routed = decode_changes(route(batch, target.pattern), target.key, target.row)
-                changes = unwrap_changes(routed, target.key.names)
-                apply_changes(target.root, changes, target.key.names, number, writer)
-        finally:
-            batch.unpersist()
+        for target in targets:  # each reads the batch: cached texts take many times the room of their compressed files
+            routed = decode_changes(route(batch, target.pattern), target.key, target.row)
+            changes = unwrap_changes(routed, target.key.names)
+            apply_changes(target.root, changes, target.key.names, number, writer)
 
     return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
 

@@ -3,6 +3,7 @@ from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import data
 from data import NOW
@@ -209,3 +210,20 @@ def test_a_delete_removes_facts_on_the_next_tick(spark):
     both = reports.user_mood(rated, data.items(spark, ("i1",), ("i2",)), people).first()
     one = reports.user_mood(rated, data.items(spark, ("i1",)), people).first()
     assert (both.mood, one.mood) == ("bad", "good")
+
+
+def test_a_shared_log_is_not_cached_whole(spark, tmp_path, monkeypatch):
+    key, row = T.StructType.fromDDL("item_id string"), T.StructType.fromDDL("item_id string, title string")
+    value = '{"before": null, "after": {"item_id": "%s", "title": "%s"}}'
+    records = [("a.item", '{"item_id": "i1"}', value % ("i1", "old"), 1), ("a.item", '{"item_id": "i1"}', value % ("i1", "new"), 2),
+               ("a.other", '{"item_id": "i9"}', value % ("i9", "x"), 3), ("a.item", '{"item_id": "i2"}', None, 4)]
+    spark.createDataFrame(records, "origin string, key string, value string, seq bigint").write.parquet(f"{tmp_path}/in")
+    cached, route = [], mirror.route
+    monkeypatch.setattr(mirror, "route", lambda raw, *rest: cached.append(raw.storageLevel.useMemory) or route(raw, *rest))
+    targets = [mirror.Target(rf"\.{name}$", key, row, f"{tmp_path}/{name}") for name in ("item", "other")]
+    source = spark.readStream.schema("origin string, key string, value string, seq bigint").parquet(f"{tmp_path}/in")
+    mirror.mirror_log(source, targets, f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    # a text in memory takes many times the room of its compressed file, and a task would read its whole file's
+    assert cached == [False, False]
+    assert [tuple(r) for r in mirror.read_state(spark, f"{tmp_path}/item").collect()] == [("i1", "new")]
+    assert [tuple(r) for r in mirror.read_state(spark, f"{tmp_path}/other").collect()] == [("i9", "x")]
