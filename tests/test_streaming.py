@@ -227,3 +227,12 @@ def test_a_shared_log_is_not_cached_whole(spark, tmp_path, monkeypatch):
     assert cached == [False, False]
     assert [tuple(r) for r in mirror.read_state(spark, f"{tmp_path}/item").collect()] == [("i1", "new")]
     assert [tuple(r) for r in mirror.read_state(spark, f"{tmp_path}/other").collect()] == [("i9", "x")]
+
+
+def test_rankings_do_not_build_undated_facts_again(spark, tmp_path):
+    items, users = data.items(spark, ("i1",)), data.users(spark, ("u1",))
+    ratings, watches = data.ratings(spark, ("u1", "i1", 5, NOW)), data.watches(spark, ("u1", "i1", 60, "mobile", NOW))
+    costly = [df.withColumn("user_id", F.raise_error(F.lit("built again")).cast("string")) for df in (ratings, watches)]
+    tick = refresh.Tick(items, users, *costly, ratings, watches, F.lit(NOW))
+    assert refresh.RANKINGS["item_rating_ranking"](tick).first().avg_rating == 5
+    assert refresh.RANKINGS["item_view_ranking"](tick).first().view_count == 1
