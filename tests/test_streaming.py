@@ -1,5 +1,6 @@
 import random
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import types as T
 
 import data
 from data import NOW
+from marquee import registry
 from marquee.operators import quality
 from marquee.plans import reports
 from marquee.schemas import struct
@@ -236,3 +238,23 @@ def test_rankings_do_not_build_undated_facts_again(spark, tmp_path):
     tick = refresh.Tick(items, users, *costly, ratings, watches, F.lit(NOW))
     assert refresh.RANKINGS["item_rating_ranking"](tick).first().avg_rating == 5
     assert refresh.RANKINGS["item_view_ranking"](tick).first().view_count == 1
+
+
+def test_late_heartbeats_play_from_as_many_files_as_their_number_asks_for(spark, tmp_path, monkeypatch):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(40).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 3 AS user_id",
+        "'e' AS event_type", "double(id) AS value", "'' AS props").write.parquet(f"{tmp_path}/events.parquet")
+
+    def played():
+        before = set(folder.glob("late-*"))
+        rows = sorted(map(tuple, registry.QUERIES["settle_stream_late"](spark, str(tmp_path)).collect()))
+        root, = set(folder.glob("late-*")) - before
+        return rows, len(list(root.glob("in/*.parquet")))
+
+    few = played()
+    monkeypatch.setattr(registry, "LATE_FILE_ROWS", 10)
+    many = played()
+    assert (few[1], many[1]) == (16, 32) and few[0] == many[0]
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled") == "true"
