@@ -57,6 +57,18 @@ def test_token_counts_query(spark, sf_dir, documents):
     assert got == {k: len(model.encode(t or "")) for k, t in documents}
 
 
+def test_new_words_are_encoded_by_few_calls(monkeypatch):
+    encoder = packing.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    rng, calls, encode = random.Random(5), [], encoder.ranks.encode_ordinary
+    monkeypatch.setattr(encoder.ranks, "encode_ordinary", lambda x: calls.append(x) or encode(x))
+    signs = ["a", "b", "the", "é", "'s", "1", "!", "\n", "\t", "\x1c", "\x85", "\xa0", "end"]
+    texts = [" ".join("".join(rng.choices(signs, k=rng.randint(1, 6))) for _ in range(100)) for _ in range(20)]
+    texts += [" word", "word ", "a  b   c", " \n b", "中 文 a b", "x <|endoftext|> y", "a <|endo b", "\u3000 a", ""]
+    for x, found in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(found, "<u4").tolist() == encoder.tokenizer.encode(x, add_special_tokens=False).ids
+    assert len(calls) < 60 and len(encoder.spaced) + len(encoder.parts) > 600
+
+
 def _check_packing(pieces, rows, encode, size=2048):
     """Every id of every document lies in one piece, and windows are gapless and full or a power of two."""
     want = defaultdict(list)
