@@ -21,9 +21,9 @@ no hot key.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import arrays, filled, stored, words
+from marquee.llm.shared import arrays, discard, filled, forget_shuffles, stored
 
-FLUSH = 300_000
+# Bytes of texts or numbers that are handled at once, and pairs that a task adds up before the shuffle.
+BLOCK_BYTES, BLOCK_PAIRS = 16 << 20, 4_000_000
 # Words whose neighbours are weighed at once.
 WORD_BLOCK = 256
 
@@ -54,23 +55,35 @@ class Sizes:
         return self.classes or max(8, min(200, round(2 * vocabulary ** 0.25)))
 
 
-def _emit(counts: dict, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=names)
+def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows with about ``BLOCK_BYTES`` in ``column`` each."""
+    for batch in filled(batches):
+        data = batch.column(batch.schema.get_field_index(column))
+        sizes = pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False)
+        of = np.cumsum(sizes, dtype=np.int64) // BLOCK_BYTES
+        starts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+        for at, to in zip(starts, starts[1:]):
+            yield batch.slice(at, to - at)
+
+
+def _words_of(block: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """The ``words`` of all texts one after the other, and where those of each text end."""
+    texts = pc.fill_null(block.column(block.schema.get_field_index("text")), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = lists.flatten()
+    filled_in = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate([[0], np.cumsum(filled_in.to_numpy(zero_copy_only=False))])
+    ends = before[np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]
+    return flat.filter(filled_in).cast(pa.binary()), ends
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) over all ``texts`` (text); a task adds up before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in filled(batches):
-            for text in arrays(batch, "text"):
-                counts.update(words(text))
-                if len(counts) >= FLUSH:
-                    yield _emit(counts, ["word", "n"])
-                    counts = Counter()
-        if counts:
-            yield _emit(counts, ["word", "n"])
+        for block in _blocks(batches, "text"):
+            counts = _words_of(block)[0].value_counts()
+            yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "n"])
 
     return stored(texts.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c")))
 
@@ -134,58 +147,133 @@ def as_numbers(texts: DataFrame, ranks) -> DataFrame:
 
         rank = ranks.value.get
         uid = TaskContext.get().partitionId() << 40
-        for batch in filled(batches):
-            coded = []
-            for text in arrays(batch, "text"):
-                found = words(text)
-                numbers = np.fromiter((rank(w, -1) for w in found), np.int64, len(found))
-                for k in np.flatnonzero(numbers < 0):
-                    numbers[k] = rare_number(found[k])
-                coded.append(numbers.tobytes())
-            uids = np.arange(uid, uid + batch.num_rows)
-            uid += batch.num_rows
+        for block in _blocks(batches, "text"):
+            flat, ends = _words_of(block)
+            coded = flat.dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            of = np.fromiter(map(rank, distinct, repeat(-1)), np.int64, len(distinct))
+            for k in np.flatnonzero(of < 0):
+                of[k] = rare_number(distinct[k])
+            numbers = of[coded.indices.to_numpy()]
+            offsets = np.concatenate([[0], 8 * ends]).astype(np.int32)
+            coded = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(numbers)])
+            uids = np.arange(uid, uid + block.num_rows)
+            uid += block.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uids), batch.column(0), batch.column(1), pa.array(coded, pa.binary())], names=["uid", "id", "held_out", "numbers"])
+                [pa.array(uids), block.column(0), block.column(1), coded], names=["uid", "id", "held_out", "numbers"])
 
     return stored(texts.select("id", "held_out", "text").mapInArrow(encode, f"uid bigint, id {key}, held_out boolean, numbers binary"))
 
 
-def _summed(texts: DataFrame, column: str, pairs, kind=np.int64) -> DataFrame:
-    """(x, y, n): how often ``pairs()(array)`` gives the pair (x, y); added up per task first."""
+def _joined(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column as one array, and where those of each row end."""
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], wide)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2] if offsets[-1] > offsets[0] else b""
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(kind) if data else np.empty(0, kind), (offsets[1:] - offsets[0]) // size
+
+
+def _neighbours(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each value and the next one stand in the same row."""
+    same = np.ones(max(0, len(flat) - 1), bool)
+    same[ends[(ends > 0) & (ends < len(flat))] - 1] = False
+    return same
+
+
+def _counted(texts: DataFrame, column: str, size: int, pairs, kind=np.int64) -> np.ndarray:
+    """Matrix of how often ``pairs()(array, ends)`` gives (x, y), both below ``size``; a task adds up all its rows."""
+    size = max(1, size)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, sums = pairs(), np.zeros(size * size, np.int64)
+        for block in _blocks(batches, column):
+            x, y = of(*_joined(block.column(0), kind))
+            sums += np.bincount(x * size + y, minlength=size * size)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at // size), pa.array(at % size), pa.array(sums[at])], names=["x", "y", "n"])
+
+    found = texts.select(column).mapInArrow(count, "x bigint, y bigint, n bigint").groupBy("x", "y").agg(F.sum("n").alias("n"))
+    table = found.toArrow()
+    x, y, n = (table.column(name).to_numpy() for name in ("x", "y", "n"))
+    counts = np.zeros((size, size), np.int64)
+    counts[x, y] = n
+    return counts
+
+
+# One neighbour's class and how often it stands there.
+ENTRY = np.dtype([("y", "<u2"), ("n", "<u4")])
+
+
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+
+
+def _entries_of_words(numbers: DataFrame, pairs) -> DataFrame:
+    """(x, found): per word the ``ENTRY`` rows of the classes that ``pairs()(array, ends)`` finds beside it.
+
+    A task adds up before the shuffle; a word has a row from each of its blocks
+    of pairs, each at most as long as there are classes on two sides. The rows
+    lie in partitions by the word and are sorted by it.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, held, size = pairs(), [], 0
 
         def flushed():
             x, y = (np.concatenate(c) for c in zip(*held))
-            order = np.lexsort((y, x))
-            x, y = x[order], y[order]
-            starts = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-            n = np.diff(np.append(starts, len(x)))
-            return pa.RecordBatch.from_arrays([pa.array(x[starts]), pa.array(y[starts]), pa.array(n)], names=["x", "y", "n"])
-
-        for batch in filled(batches):
-            for data in arrays(batch, column):
-                x, y = of(np.frombuffer(data, kind))
-                if len(x):
-                    held.append((x, y))
-                    size += len(x)
-                if size > 2_000_000:
+            coded = pa.array(x).dictionary_encode()
+            keys = np.sort(coded.indices.to_numpy().astype(np.int64) << 16 | y)
+            starts = _runs(keys)
+            entries = np.empty(len(starts), ENTRY)
+            entries["y"], entries["n"] = keys[starts] & 0xFFFF, np.diff(np.append(starts, len(keys)))
+            words = keys[starts] >> 16
+            first = _runs(words)
+            offsets = (ENTRY.itemsize * np.append(first, len(words))).astype(np.int32)
+            found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(entries.tobytes())])
+            return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(words[first])), found], names=["x", "found"])
+
+        for block in _blocks(batches, "numbers"):
+            x, y = of(*_joined(block.column(0), np.int64))
+            for at in range(0, len(x), BLOCK_PAIRS):
+                held.append((x[at:at + BLOCK_PAIRS], y[at:at + BLOCK_PAIRS]))
+                size += len(held[-1][0])
+                if size >= BLOCK_PAIRS:
                     yield flushed()
                     held, size = [], 0
         if size:
             yield flushed()
 
-    return texts.select(column).mapInArrow(count, "x bigint, y bigint, n bigint").groupBy("x", "y").agg(F.sum("n").alias("n"))
+    return numbers.select("numbers").mapInArrow(count, "x bigint, found binary").repartition("x").sortWithinPartitions("x")
 
 
-def _matrix(sums: DataFrame, size: int) -> np.ndarray:
-    """The (x, y, n) of ``_summed`` with x and y below ``size`` as a matrix."""
-    table = sums.toArrow()
-    x, y, n = (table.column(name).to_numpy() for name in ("x", "y", "n"))
-    counts = np.zeros((max(1, size), max(1, size)), np.int64)
-    counts[x, y] = n
-    return counts
+def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(words, starts and the end, y, n): the entries of each word added up, from rows (x, found) sorted by x."""
+
+    def added(x, y, n):
+        word = np.cumsum(np.concatenate([[0], x[1:] != x[:-1]])).astype(np.int64)
+        keys = word << 16 | y
+        order = np.argsort(keys, kind="stable")
+        starts = _runs(keys[order])
+        at = order[starts]
+        return x[at], y[at], np.add.reduceat(n[order], starts)
+
+    def packed(x, y, n):
+        starts = _runs(x)
+        return x[starts], np.append(starts, len(x)), y, n
+
+    held = None
+    for batch in filled(batches):
+        entries, ends = _joined(batch.column(1), ENTRY)
+        rows = (np.repeat(batch.column(0).to_numpy(), np.diff(ends, prepend=0)), entries["y"].astype(np.int64), entries["n"].astype(np.int64))
+        x, y, n = added(*(rows if held is None else map(np.concatenate, zip(held, rows))))
+        last = int(np.searchsorted(x, x[-1]))  # the next batch may go on with this word
+        held = x[last:], y[last:], n[last:]
+        if last:
+            yield packed(x[:last], y[:last], n[:last])
+    if held is not None:
+        yield packed(*held)
 
 
 def exchange(counts: np.ndarray, classes: int, rounds: int = 12) -> np.ndarray:
@@ -263,12 +351,13 @@ def cluster(numbers: DataFrame, frequent: list[bytes], sizes: Sizes, classes: in
     first = min(sizes.first, frequent)
 
     def bigrams():
-        def of(at):
-            both = (at[:-1] >= 0) & (at[1:] >= 0) & (at[:-1] < first) & (at[1:] < first)
-            return at[:-1][both], at[1:][both]
-        return of
+        def pairs(flat, ends):
+            both = (flat >= 0) & (flat < first)
+            both = both[:-1] & both[1:] & _neighbours(flat, ends)
+            return flat[:-1][both], flat[1:][both]
+        return pairs
 
-    counts = _matrix(_summed(numbers, "numbers", bigrams), first)
+    counts = _counted(numbers, "numbers", first, bigrams)
     start = exchange(counts, classes)
     member = np.eye(classes)[start]
     moves = member.T @ counts @ member
@@ -281,28 +370,30 @@ def cluster(numbers: DataFrame, frequent: list[bytes], sizes: Sizes, classes: in
         def beside():
             known = shared.value[0]
 
-            def pairs(at):
-                klass = np.where(at >= 0, known[np.maximum(at, 0)], -1).astype(np.int64)
-                left, right = klass[:-1] >= 0, klass[1:] >= 0
-                return (np.concatenate([at[1:][left], at[:-1][right]]),
+            def pairs(flat, ends):
+                same = _neighbours(flat, ends)
+                klass = np.where(flat >= 0, known[np.maximum(flat, 0)], -1).astype(np.int64)
+                asked = (flat < 0) | (flat >= first)  # the first words keep their classes
+                left, right = same & (klass[:-1] >= 0) & asked[1:], same & (klass[1:] >= 0) & asked[:-1]
+                return (np.concatenate([flat[1:][left], flat[:-1][right]]),
                         np.concatenate([klass[:-1][left], classes + klass[1:][right]]))
             return pairs
 
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, weights, leaning, tails = shared.value
-            for batch in filled(batches):
-                number, (starts, y, n) = batch.column(0).to_numpy(), _entries(batch, "found", "y", "n")
+            for number, starts, y, n in _by_word(batches):
                 tail = np.where(number >= 0, tails[np.maximum(number, 0) % len(tails)], ending_of(number))
                 found = []
                 for at in range(0, len(number), WORD_BLOCK):
                     of_block = slice(starts[at], starts[min(at + WORD_BLOCK, len(number))])
                     gain = np.add.reduceat(n[of_block, None] * weights[y[of_block]], starts[at:at + WORD_BLOCK][:len(number) - at] - starts[at])
                     found.append(np.argmax(gain + LEANING * leaning[tail[at:at + WORD_BLOCK]], axis=1))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found).astype(np.int32))], names=["number", "class"])
+                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(np.concatenate(found).astype(np.int32))], names=["number", "class"])
 
-        neighbours = _summed(numbers, "numbers", beside).groupBy("x").agg(
-            F.sort_array(F.collect_list(F.struct("y", "n"))).alias("found"))  # at most 2 * classes entries
-        best = stored(neighbours.mapInArrow(choose, "number bigint, class int"))
+        before, best = best, stored(_entries_of_words(numbers, beside).mapInArrow(choose, "number bigint, class int"))
+        if before is not None:
+            discard(before)
+        forget_shuffles(numbers.sparkSession)
         table = best.filter("number >= 0").toArrow()  # at most ``frequent`` rows
         at, new = table.column("number").to_numpy(), table.column("class").to_numpy()
         later = at >= first
@@ -318,13 +409,13 @@ def cluster(numbers: DataFrame, frequent: list[bytes], sizes: Sizes, classes: in
             def classed():
                 known = again.value
 
-                def pairs(at):
-                    klass = np.where(at >= 0, known[np.maximum(at, 0)], -1).astype(np.int64)
-                    both = (klass[:-1] >= 0) & (klass[1:] >= 0)
+                def pairs(flat, ends):
+                    klass = np.where(flat >= 0, known[np.maximum(flat, 0)], -1).astype(np.int64)
+                    both = (klass[:-1] >= 0) & (klass[1:] >= 0) & _neighbours(flat, ends)
                     return klass[:-1][both], klass[1:][both]
                 return pairs
 
-            moves = _matrix(_summed(numbers, "numbers", classed), classes)
+            moves = _counted(numbers, "numbers", classes, classed)
     return of, None if best is None else best.filter("number < 0")
 
 
@@ -427,12 +518,12 @@ def score_texts(docs: DataFrame, held_out: Column, sizes: Sizes = Sizes(), smoot
         return np.concatenate([[classes], at, [classes]]).astype(np.int64)
 
     def transitions():
-        def pairs(at):
-            at = framed(at)
+        def pairs(flat, ends):
+            at = np.insert(flat.astype(np.int64), np.concatenate([[0], ends]), classes)  # an end stands between two texts
             return at[:-1], at[1:]
         return pairs
 
-    moves = _matrix(_summed(classed.filter(~F.col("held_out")), "classes", transitions, np.uint8), classes + 1)
+    moves = _counted(classed.filter(~F.col("held_out")), "classes", classes + 1, transitions, np.uint8)
     of_class = moves.sum(axis=0)
     prior = (of_class + 1) / (of_class.sum() + classes + 1)
     step = np.log10((moves + 5 * prior) / (moves.sum(axis=1, keepdims=True) + 5)) - np.log10(of_class + smoothing * (members + 1))

@@ -1,11 +1,13 @@
 """Language model, classifiers, licences and the pipeline."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +147,39 @@ def test_class_scores_equal_brute_force(docs_of, documents):
         assert [found[k] for k, _ in rows] == pytest.approx(_brute_class_scores(rows, sizes), abs=1e-6)
 
 
+def test_neighbours_of_words_are_added_up_across_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(-30, 40, rng.integers(0, 30)) for _ in range(80)]
+    numbers = spark.createDataFrame([(bytearray(r.astype(np.int64).tobytes()),) for r in rows], "numbers binary").repartition(3)
+    want = Counter((a, abs(b) % 7) for r in rows for a, b in zip(r.tolist(), r.tolist()[1:]))
+    monkeypatch.setattr(class_lm, "BLOCK_PAIRS", 200)
+
+    def pairs(flat, ends):
+        same = class_lm._neighbours(flat, ends)
+        return flat[:-1][same], np.abs(flat[1:][same]) % 7
+
+    entries = class_lm._entries_of_words(numbers, lambda: pairs)
+    found, words = Counter(), []
+    held = sorted((r["x"], bytes(r["found"])) for r in entries.collect())
+    batches = [pa.RecordBatch.from_arrays([pa.array([x for x, _ in held[k:k + 5]], pa.int64()), pa.array([b for _, b in held[k:k + 5]], pa.binary())],
+                                          names=["x", "found"]) for k in range(0, len(held), 5)]
+    for x, starts, y, n in class_lm._by_word(iter(batches)):
+        words += x.tolist()
+        found.update({(int(a), int(b)): int(c) for a, b, c in zip(np.repeat(x, np.diff(starts)), y, n)})
+    assert found == want and words == sorted(set(words))
+    assert len({x for x, _ in held}) < len(held) < len(want)  # fewer rows meet in the shuffle than there are pairs
+
+
+def test_rounds_leave_no_tables_behind(docs_of, documents, monkeypatch):
+    kept, freed, stored = [], [], class_lm.stored
+    monkeypatch.setattr(class_lm, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    monkeypatch.setattr(class_lm, "forget_shuffles", lambda spark: freed.append(spark))
+    class_lm.score_texts(docs_of(documents[:60]), F.lit(False), class_lm.Sizes(classes=6, first=30, frequent=2000, moved=0.0)).collect()
+    rounds = [t for t in kept if t.columns == ["number", "class"]]
+    assert len(freed) == len(rounds) > 1
+    assert [all(os.path.exists(f.removeprefix("file://")) for f in t.inputFiles()) for t in rounds] == [False] * (len(rounds) - 1) + [True]
+
+
 def test_exchange_finds_classes_that_alternate():
     counts = np.zeros((6, 6))
     counts[:3, 3:] = 10
