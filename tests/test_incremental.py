@@ -148,6 +148,20 @@ def test_a_tick_writes_only_the_parts_it_touches(spark, tmp_path):
         assert len(moved) == 1 and len(after[name]["parts"]) == 4, name
 
 
+def test_small_cached_tables_have_few_partitions(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        items = spark.createDataFrame([("i1", "movie", 1, "Drama", "en")], ITEMS)
+        users = spark.createDataFrame([(f"u{k}", 20, "male") for k in range(40)], USERS)
+        tick = incremental.Tick(spark, str(tmp_path / "reports"), 0, items, users, tables.DIRECT, 2)
+        sums = tick.hold(incremental.add_sums(None, users.selectExpr("user_id", "1L n"), ["user_id"], ["n"], "n"))
+        assert sums.count() == 40 and sums.rdd.getNumPartitions() <= 8
+        tick.release()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_reports_follow_a_stream(spark, tmp_path):
     items = spark.createDataFrame([("i1", "movie", 1, "Drama", "en")], ITEMS)
     users = spark.createDataFrame([("u1", 20, "male")], USERS)
