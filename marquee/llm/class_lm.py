@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from marquee.llm.shared import arrays, discard, filled, forget_shuffles, stored
 
-# Bytes of texts or numbers that are handled at once, and pairs that a task adds up before the shuffle.
-BLOCK_BYTES, BLOCK_PAIRS = 16 << 20, 4_000_000
+# Bytes of texts or numbers that are handled at once, pairs that a task adds up before the shuffle, and rows it hands on at once.
+BLOCK_BYTES, BLOCK_PAIRS, BLOCK_ROWS = 4 << 20, 4_000_000, 1 << 16
 # Words whose neighbours are weighed at once.
 WORD_BLOCK = 256
 
@@ -55,12 +55,12 @@ class Sizes:
         return self.classes or max(8, min(200, round(2 * vocabulary ** 0.25)))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches in runs of rows with about ``BLOCK_BYTES`` in ``column`` each."""
+def _blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows with about ``most`` bytes in ``column`` each."""
     for batch in filled(batches):
         data = batch.column(batch.schema.get_field_index(column))
         sizes = pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False)
-        of = np.cumsum(sizes, dtype=np.int64) // BLOCK_BYTES
+        of = np.cumsum(sizes, dtype=np.int64) // most
         starts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
         for at, to in zip(starts, starts[1:]):
             yield batch.slice(at, to - at)
@@ -184,10 +184,11 @@ def _neighbours(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _counted(texts: DataFrame, column: str, size: int, pairs, kind=np.int64) -> np.ndarray:
     """Matrix of how often ``pairs()(array, ends)`` gives (x, y), both below ``size``; a task adds up all its rows."""
     size = max(1, size)
+    most = BLOCK_BYTES * np.dtype(kind).itemsize // 8  # counted with eight bytes a value
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, sums = pairs(), np.zeros(size * size, np.int64)
-        for block in _blocks(batches, column):
+        for block in _blocks(batches, column, most):
             x, y = of(*_joined(block.column(0), kind))
             sums += np.bincount(x * size + y, minlength=size * size)
         at = np.flatnonzero(sums)
@@ -210,6 +211,27 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
 
 
+def _packed_pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """(x, found) of the pairs, added up. Sorts them where ``x`` lies, which is lost."""
+    coded = pa.array(x).dictionary_encode()
+    keys, words = x, coded.dictionary
+    keys[:] = coded.indices.to_numpy()
+    del coded
+    keys <<= 16
+    keys |= y
+    keys.sort()
+    starts = _runs(keys)
+    entries = np.empty(len(starts), ENTRY)
+    entries["n"] = np.diff(np.append(starts, len(keys)))
+    keys = keys[starts]
+    entries["y"] = keys & 0xFFFF
+    keys >>= 16
+    first = _runs(keys)
+    offsets = (ENTRY.itemsize * np.append(first, len(keys))).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(entries.view(np.uint8))])
+    return pa.RecordBatch.from_arrays([words.take(pa.array(keys[first])), found], names=["x", "found"])
+
+
 def _entries_of_words(numbers: DataFrame, pairs) -> DataFrame:
     """(x, found): per word the ``ENTRY`` rows of the classes that ``pairs()(array, ends)`` finds beside it.
 
@@ -219,31 +241,25 @@ def _entries_of_words(numbers: DataFrame, pairs) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, held, size = pairs(), [], 0
+        of, x, y, size = pairs(), np.empty(BLOCK_PAIRS, np.int64), np.empty(BLOCK_PAIRS, np.uint16), 0
 
         def flushed():
-            x, y = (np.concatenate(c) for c in zip(*held))
-            coded = pa.array(x).dictionary_encode()
-            keys = np.sort(coded.indices.to_numpy().astype(np.int64) << 16 | y)
-            starts = _runs(keys)
-            entries = np.empty(len(starts), ENTRY)
-            entries["y"], entries["n"] = keys[starts] & 0xFFFF, np.diff(np.append(starts, len(keys)))
-            words = keys[starts] >> 16
-            first = _runs(words)
-            offsets = (ENTRY.itemsize * np.append(first, len(words))).astype(np.int32)
-            found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(entries.tobytes())])
-            return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(words[first])), found], names=["x", "found"])
+            found = _packed_pairs(x[:size], y[:size])
+            for at in range(0, found.num_rows, BLOCK_ROWS):
+                yield found.slice(at, BLOCK_ROWS)
 
         for block in _blocks(batches, "numbers"):
-            x, y = of(*_joined(block.column(0), np.int64))
-            for at in range(0, len(x), BLOCK_PAIRS):
-                held.append((x[at:at + BLOCK_PAIRS], y[at:at + BLOCK_PAIRS]))
-                size += len(held[-1][0])
-                if size >= BLOCK_PAIRS:
-                    yield flushed()
-                    held, size = [], 0
+            words, beside = of(*_joined(block.column(0), np.int64))
+            at = 0
+            while at < len(words):
+                to = min(len(words), at + BLOCK_PAIRS - size)
+                x[size:size + to - at], y[size:size + to - at] = words[at:to], beside[at:to]
+                at, size = to, size + to - at
+                if size == BLOCK_PAIRS:
+                    yield from flushed()
+                    size = 0
         if size:
-            yield flushed()
+            yield from flushed()
 
     return numbers.select("numbers").mapInArrow(count, "x bigint, found binary").repartition("x").sortWithinPartitions("x")
 
@@ -474,7 +490,7 @@ def score_texts(docs: DataFrame, held_out: Column, sizes: Sizes = Sizes(), smoot
 
     # the words of each text that are not broadcast meet their counts and classes
     def rare_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in filled(batches):
+        for batch in _blocks(batches, "numbers"):
             found = [np.unique(x[x < 0]) for x in (np.frombuffer(b, np.int64) for b in arrays(batch, "numbers"))]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             yield pa.RecordBatch.from_arrays(
@@ -485,7 +501,7 @@ def score_texts(docs: DataFrame, held_out: Column, sizes: Sizes = Sizes(), smoot
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, log, default = shared.value
-        for batch in filled(batches):
+        for batch in _blocks(batches, "numbers"):
             rows = []
             starts, *fields = _entries(batch, "met", "number", "c", "class")
             for k, data in enumerate(arrays(batch, "numbers")):

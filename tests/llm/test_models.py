@@ -3,6 +3,7 @@
 import math
 import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -170,6 +171,71 @@ def test_neighbours_of_words_are_added_up_across_blocks(spark, monkeypatch):
     assert len({x for x, _ in held}) < len(held) < len(want)  # fewer rows meet in the shuffle than there are pairs
 
 
+class _Task:
+    """Stands for a table, and keeps the function that its tasks would run."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, function, schema):  # noqa: N802
+        self.function = function
+        return self
+
+    def to_numpy(self):
+        return np.empty(0, np.int64)
+
+    def __getattr__(self, name):
+        return lambda *_: self
+
+    def most_held(self, batches):
+        """Bytes of numpy arrays that the task holds at most."""
+        tracemalloc.start()
+        for _ in self.function(iter(batches)):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+
+def test_a_task_that_adds_up_pairs_holds_few_of_them(spark):
+    rng = np.random.default_rng(4)
+    size, rows = 5_000_000, 5_000
+
+    def table(flat):
+        return pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in flat.reshape(rows, -1)])], names=["numbers"])
+
+    def both_sides(flat, ends):
+        return np.concatenate([flat[1:], flat[:-1]]), np.concatenate([flat[:-1] % 50, 50 + flat[1:] % 50])
+
+    task = _Task()
+    class_lm._entries_of_words(task, lambda: both_sides)
+    numbers = table(rng.integers(0, 100_000, size))
+    assert task.most_held([numbers.slice(k, rows // 5) for k in range(0, rows, rows // 5)]) < 50 * class_lm.BLOCK_PAIRS
+
+    class_lm._counted(task, "numbers", 50, lambda: lambda flat, ends: (flat[:-1].astype(np.int64), flat[1:].astype(np.int64)), np.uint8)
+    assert task.most_held([table(rng.integers(0, 50, size).astype(np.uint8))]) < 8 * size
+
+
+def test_pairs_are_added_up_in_equal_blocks(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "BLOCK_PAIRS", 200)
+    monkeypatch.setattr(class_lm, "BLOCK_ROWS", 3, raising=False)
+    rows = [(bytearray(np.arange(151, dtype=np.int64).tobytes()),) for _ in range(7)]
+
+    def pairs(flat, ends):
+        return flat[:-1] // 30, flat[1:] % 2
+
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        entries = class_lm._entries_of_words(spark.createDataFrame(rows, "numbers binary").coalesce(1), lambda: pairs).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    counts = [(r["x"], np.frombuffer(r["found"], class_lm.ENTRY)) for r in entries]
+    blocks = [range(at, min(1050, at + 200)) for at in range(0, 1050, 200)]  # which end within a text
+    assert Counter(x for x, _ in counts) == Counter(x for block in blocks for x in {k % 150 // 30 for k in block})
+    assert sum(int(e["n"].sum()) for _, e in counts) == 1050
+
+
 def test_rounds_leave_no_tables_behind(docs_of, documents, monkeypatch):
     kept, freed, stored = [], [], class_lm.stored
     monkeypatch.setattr(class_lm, "stored", lambda df: kept.append(stored(df)) or kept[-1])
