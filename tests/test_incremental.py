@@ -162,6 +162,45 @@ def test_small_cached_tables_have_few_partitions(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_what_a_watch_keeps_is_not_looked_up_again(spark, tmp_path, monkeypatch):
+    root, as_of = str(tmp_path / "reports"), F.lit(NOW)
+    items, users = [("i1", "movie", 1, "Drama", "en"), ("i2", "movie", 1, "Drama", "de")], spark.createDataFrame([("u1", 20, "male"), ("u2", 30, "male")], USERS)
+    watches = spark.createDataFrame([("u1", "i1", 60, "tv", NOW), ("u1", "i2", 60, "pc", NOW - timedelta(minutes=1)), ("u2", "i2", 60, "pc", NOW)], WATCHES)
+    no_ratings = spark.createDataFrame([], RATINGS)
+    incremental.advance(root, 0, spark.createDataFrame(items, ITEMS), users, no_ratings, watches, as_of, parts=2)
+    again, read = [], incremental.watches_of
+    monkeypatch.setattr(incremental, "watches_of", lambda tick, of, landed: again.append({r.user_id for r in of.collect()}) or read(tick, of, landed))
+
+    def tick(number, first):
+        again.clear()
+        incremental.advance(root, number, spark.createDataFrame([first, *items[1:]], ITEMS), users, no_ratings, watches.limit(0), as_of, parts=2)
+        return {r.user_id: r[1:] for r in incremental.read_report(spark, root, "user_top_device_language").collect()}
+
+    same = {"u1": ("tv", 1, "en", 1), "u2": ("pc", 1, "de", 1)}
+    assert tick(1, ("i1", "movie", 100, "Crime", "en")) == same and again == [set(), set()]
+    assert incremental.read_report(spark, root, "item_completion_rate").filter("item_id = 'i1'").first().completion_rate == 0
+    assert tick(2, ("i1", "movie", 100, "Crime", "de")) == same | {"u1": ("tv", 1, "de", 2)} and again == [set(), set()]
+
+
+def test_old_facts_are_read_once_and_few_keys_are_sent_to_them(spark, tmp_path):
+    spark.createDataFrame([("u1", "i1", 60, "tv", NOW), ("u1", "i2", 60, "tv", NOW), ("u2", "i2", 60, "tv", NOW), ("u3", None, 60, "tv", NOW), (None, "i2", 60, "tv", NOW)], WATCHES).write.parquet(f"{tmp_path}/facts")
+    facts = spark.read.parquet(f"{tmp_path}/facts")
+    old, new = (spark.createDataFrame(rows, USERS) for rows in ([("u1", 20, "male"), ("u2", 20, "male"), ("u3", 5, "male")], [("u1", 30, "male"), ("u2", 20, "male")]))
+    items = spark.createDataFrame([("i1", "movie", 1, "Drama", "en"), ("i2", "movie", 1, "Drama", "en")], ITEMS)
+    users, items = incremental.Changed("user_id", incremental.USER_COLUMNS, old, new), incremental.Changed("item_id", incremental.ITEM_COLUMNS, items, items.filter("item_id = 'i1'"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = incremental._of_keys(facts, items.rows, users.rows)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("FileScan parquet") == 1 and plan.count("BroadcastHashJoin") == 2
+        assert sorted(((r.user_id, r.item_id) for r in found.collect()), key=repr) == [("u1", "i1"), ("u1", "i2"), ("u2", "i2"), ("u3", None), (None, "i2")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        users.both.unpersist()
+        items.both.unpersist()
+
+
 def test_reports_follow_a_stream(spark, tmp_path):
     items = spark.createDataFrame([("i1", "movie", 1, "Drama", "en")], ITEMS)
     users = spark.createDataFrame([("u1", 20, "male")], USERS)
