@@ -30,10 +30,10 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators.blocks import last_n, mode_of, top_k_per_group
+from marquee.operators.blocks import last_n, mode_of, numbered, top_k_per_group
 from marquee.operators.changes import latest_by_key
 from marquee.plans.reports import (
     BAD_BELOW,
@@ -79,8 +79,7 @@ def signed(rows: DataFrame, weight: int) -> DataFrame:
 
 def _numbered(rows: DataFrame, key: str, rest: Sequence[str], name: str) -> DataFrame:
     """``rest`` as the struct ``name``, with the number ``_no`` of the row among those of its key."""
-    number = F.row_number().over(Window.partitionBy(key).orderBy(*rest))
-    return rows.select(key, number.alias("_no"), F.struct(*rest).alias(name))
+    return numbered(rows.select(key, *rest), key, rest, "_no").select(key, "_no", F.struct(*rest).alias(name))
 
 
 def add_sums(state: DataFrame | None, deltas: DataFrame, keys: Sequence[str], sums: Sequence[str], count: str) -> DataFrame:
