@@ -14,6 +14,7 @@ from data import NOW
 from marquee.operators import blocks, changes
 from marquee.plans import reports
 from marquee.sources import star_schema, tables
+from marquee.streaming import incremental, refresh
 
 QUERIES = spark_entry.queries()
 # These run jobs while they build their result.
@@ -155,3 +156,29 @@ def test_a_hot_key_shuffles_few_rows(spark, hot):
     assert lengths.count() <= 3000
     rate = reports.completion_rate(watches, items, users).filter("item_id = 'i0'").first()
     assert rate.watch_count == watches.filter("item_id = 'i0'").count()
+
+
+def _arrived(watches, items, users):
+    dims = incremental.Changed("item_id", incremental.ITEM_COLUMNS, None, items), incremental.Changed("user_id", incremental.USER_COLUMNS, None, users)
+    try:
+        return incremental._with_attributes(watches, *[dim.arrived for dim in dims])
+    finally:
+        for dim in dims:
+            dim.both.unpersist()
+
+
+@pytest.mark.parametrize("build", [refresh._with_items, _arrived])
+def test_a_hot_key_is_split_where_watches_get_the_columns_of_their_item(spark, hot, build):
+    with settings(spark, **{
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__shuffle__partitions": "16",
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    }):
+        split = build(*hot)
+        found = sorted(tuple(r[c] for c in hot[0].columns) for r in split.collect())
+        assert plan_of(split, "simple").count("(skew=true)") == 2
+    wanted = hot[0].join(hot[1], "item_id", "left_semi").join(hot[2], "user_id", "left_semi").select(*hot[0].columns)
+    assert found == sorted(map(tuple, wanted.collect()))

@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import timedelta
 from pathlib import Path
 
@@ -167,6 +168,38 @@ def test_a_tick_writes_every_report_and_skips_missing_sources(spark, tmp_path):
     assert all(tables.latest(spark, f"{root}/{name}").isEmpty() for name in refresh.REPORTS)
 
 
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {str(f) for folder in folders for f in Path(folder.getPath()).glob("*/shuffle_*.data")}
+
+
+def test_a_tick_leaves_no_shuffle_files_and_joins_items_once(spark, tmp_path):
+    """Of an item that comes twice each row counts, as where every report joins the items itself; a watch counts once."""
+    items = data.items(spark, ("i1", "movie", 100, "Drama", "en"), ("i1", "series", 100, "Crime", "de"), ("i2", "movie", 10, "Drama", "en"), ("i4", "movie"))
+    users = data.users(spark, ("u1", 30, "female"), ("u2", 40, "male"), ("u4",))
+    watches = data.watches(
+        spark, ("u1", "i1", 6000, "mobile", NOW), ("u1", "i2", 60, "tv", NOW - timedelta(minutes=1)), ("u2", "i2", 6000, "tv", NOW),
+        ("u3", "i2", 60, "tv", NOW), ("u1", "i3", 60, "tv", NOW), (None, "i2", 60, "tv", NOW), ("u1", None, 60, "tv", NOW))
+    ratings = data.ratings(spark, *[(f"u{k % 3}", f"i{k}", k % 5, NOW) for k in range(9)])
+    wanted = {
+        "item_completion_rate": reports.completion_rate(watches, items, users), "user_series_movie_ratio": reports.type_ratio(watches, items, users),
+        "user_top_genre": reports.top_genre(watches, items, users), "user_top_device_language": reports.top_device_language(watches, items, users),
+        "user_watch_count": reports.watch_counts(watches, items, users), "item_viewer_demographics": reports.viewer_demographics(watches, items, users),
+        "user_mood": reports.user_mood(ratings, items, users), "item_view_ranking": reports.view_ranking(watches, items, users, F.lit(NOW)),
+        "item_rating_ranking": reports.rating_ranking(ratings, watches, items, users, F.lit(NOW)),
+    }
+    rows = {name: (report.columns, sorted(map(tuple, report.collect()), key=repr)) for name, report in wanted.items()}
+    before = _shuffle_files(spark)
+    refresh.run_tick({"items": items, "users": users, "ratings": ratings, "watch_events": watches}, str(tmp_path), 1, F.lit(NOW))
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    for name, (columns, content) in rows.items():
+        found = tables.latest(spark, f"{tmp_path}/{name}")
+        assert found.columns == columns and sorted(map(tuple, found.collect()), key=repr) == content, name
+
+
 def test_refresh_runs_on_a_clock(spark, tmp_path):
     sources = {
         "items": data.items(spark, ("i1",)), "users": data.users(spark, ("u1",)),
